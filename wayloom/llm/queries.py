@@ -5,10 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exactdedup, shardtree, winnow
+from . import exactdedup, ngramjoin, shardtree, wavelet, winnow
 from .common import table
 
 
+def tokenizer_path() -> str:
+    """The byte-level BPE vocabulary of the queries; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = wavelet.write_shards(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
+    return wavelet.read_shards(manifest)
+
+
+def op4_token_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.near_duplicates(table(spark, sf_dir, "documents"), width=5, percent=80)
+
+
+OP4_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x{20}\x{09}-\x{0D}]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM d WHERE len(w) > 0) t),
+n AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, '|' ORDER BY g)) AS class FROM s GROUP BY doc_id),
+copies AS (SELECT class, count(*) AS n_equal FROM n GROUP BY class),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+reach AS (SELECT doc_id, doc_id AS r FROM n UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r),
+comp AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id),
+other AS (SELECT DISTINCT x.class FROM links JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE x.class <> y.class)
+SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+  CAST(coalesce(n_equal, 1) AS BIGINT) AS n_equal, other.class IS NOT NULL AS linked
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id) LEFT JOIN copies USING (class) LEFT JOIN other USING (class)
+"""
+
+
 def op6_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnow.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
@@ -46,8 +78,8 @@ SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op6_winnowing_decontamination, op7_hash_tree_sharding, op9_refined_exact_dedup)}
+    return {f.__name__: f for f in (op1_wavelet_tokens, op4_token_combination_join, op6_winnowing_decontamination, op7_hash_tree_sharding, op9_refined_exact_dedup)}
 
 
 def oracle_sql() -> dict:
-    return {"op6_winnowing_decontamination": OP6_SQL, "op9_refined_exact_dedup": OP9_SQL}
+    return {"op4_token_combination_join": OP4_SQL, "op6_winnowing_decontamination": OP6_SQL, "op9_refined_exact_dedup": OP9_SQL}
