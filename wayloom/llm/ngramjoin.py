@@ -178,7 +178,6 @@ def _entries(sets: DataFrame, percent: int) -> DataFrame:
 
 def _components(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(rep, comp) for the sets that link, found group by group."""
-    spark = entries.sparkSession
     first = entries.groupBy("key").agg(F.min(F.struct("n", "rep")).alias("l")).select("key", F.col("l.n").alias("ln"), F.col("l.rep").alias("l"))
     pairs = entries.join(first, "key").where("rep <> l").where(_sizes_allow("n", "ln", percent)).select(F.least("rep", "l").alias("a"), F.greatest("rep", "l").alias("b")).distinct()
     links = materialize(_verified(materialize(pairs, "pairs"), sets, percent), "links")
@@ -220,7 +219,6 @@ def _components(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         discard(groups)
         if last:
             break
-    del spark
     return comps
 
 
@@ -237,7 +235,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     part: they have no component.  Rows that repeat an id are one node of the
     graph; other columns are not looked at; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -280,7 +277,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nameless = docs.where(F.col(id_col).isNull()).select(
         F.lit(None).cast("long").alias(id_col), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(1).cast("long").alias("n_equal"), F.lit(False).alias("linked")
     )
-    del spark
     return found.unionByName(nameless)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exactdedup, ngramjoin, shardtree, wavelet, winnow
+from . import exactdedup, htmlmain, langid, linededup, ngramjoin, packing, secretscan, shardtree, wavelet, winnow
 from .common import table
 
 
@@ -21,6 +21,14 @@ def op1_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_shards(manifest)
 
 
+def op2_assignment_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.digest(secretscan.secrets(table(spark, sf_dir, "documents")))
+
+
+def op3_variable_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit(table(spark, sf_dir, "documents"))
+
+
 def op4_token_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.near_duplicates(table(spark, sf_dir, "documents"), width=5, percent=80)
 
@@ -41,6 +49,25 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id) LEFT JOIN copies
 """
 
 
+def op5_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.dedup_lines(table(spark, sf_dir, "documents"), window=3)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+OP5_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+n AS (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS i FROM d WHERE len(l) >= 3),
+w AS (SELECT doc_id, i, l[i] AS a, l[i + 1] AS b, l[i + 2] AS c FROM n WHERE length(trim(l[i], ' ')) + length(trim(l[i + 1], ' ')) + length(trim(l[i + 2], ' ')) > 0),
+g AS (SELECT *, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) AS r FROM w),
+gone AS (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS p FROM g WHERE r > 1),
+lines AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS p FROM d),
+left_over AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY p) AS t FROM lines ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+k AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS text_sha256
+FROM d LEFT JOIN k USING (doc_id) LEFT JOIN left_over USING (doc_id)
+"""
+
+
 def op6_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnow.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
@@ -66,6 +93,13 @@ def op7_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shardtree.shard_rows(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op8_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(langid.fold() != 2))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", (langid.fold() == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op9_refined_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_dedup(table(spark, sf_dir, "documents"), digest_all=True)
 
@@ -77,9 +111,16 @@ SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_
 """
 
 
+def op10_boosted_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmlmain.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_wavelet_tokens, op4_token_combination_join, op6_winnowing_decontamination, op7_hash_tree_sharding, op9_refined_exact_dedup)}
+    return {f.__name__: f for f in (
+        op1_wavelet_tokens, op2_assignment_secrets, op3_variable_best_fit, op4_token_combination_join, op5_line_windows, op6_winnowing_decontamination,
+        op7_hash_tree_sharding, op8_centroid_language, op9_refined_exact_dedup, op10_boosted_main_text,
+    )}
 
 
 def oracle_sql() -> dict:
-    return {"op4_token_combination_join": OP4_SQL, "op6_winnowing_decontamination": OP6_SQL, "op9_refined_exact_dedup": OP9_SQL}
+    return {"op4_token_combination_join": OP4_SQL, "op5_line_windows": OP5_SQL, "op6_winnowing_decontamination": OP6_SQL, "op9_refined_exact_dedup": OP9_SQL}
