@@ -48,6 +48,11 @@ def _grams(hashes: str, n: int) -> Column:
     return F.coalesce(_runs(hashes, n, lambda ws: F.xxhash64(*ws)), F.array().cast("array<bigint>"))
 
 
+def _marked(hashes: Column, n: int) -> Column:
+    """Hashes of runs of n words, unlike those of other lengths."""
+    return F.transform(hashes, lambda h: F.xxhash64(F.lit(n), h))
+
+
 def _winnowed(grams: str, window: int) -> Column:
     least = _runs(grams, window, lambda hs: F.least(*hs) if len(hs) > 1 else hs[0])
     return F.coalesce(F.array_distinct(least), F.array().cast("array<bigint>"))
@@ -69,7 +74,7 @@ def fingerprints(rows: DataFrame, words: str = "words", span: int = SPAN, gram:
     if among is not None:
         fps = F.when(F.exists("_grams", lambda h: h.isin(among)), fps).otherwise(F.array().cast("array<bigint>"))
     for n in short:
-        fps = F.concat(fps, F.transform(_grams("_wh", n), lambda h, n=n: F.xxhash64(F.lit(n), h)))
+        fps = F.concat(fps, _marked(_grams("_wh", n), n))
     return out.withColumn("fps", fps).drop("_grams", "_wh")
 
 
