@@ -28,6 +28,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most so many rows in this session: texts are long, and executors hold a batch twice."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/wayloom-{uuid.uuid4().hex}/{name}"
 

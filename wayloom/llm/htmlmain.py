@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 # HTML's element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template svg math iframe object textarea select title head canvas video audio".split())
@@ -411,6 +413,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", k
     each by itself; repeated rows and null ids are returned as they are; columns
     not in keep are not looked at; an empty table gives an empty result.
     """
+    small_batches(pages.sparkSession)
     trees = model or fit()
     state = (trees.base, trees.depth, trees.split)
     names = [id_col, *keep]

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 from .textgrams import mix, text_slices
 
 #: Hashed n-grams: lengths in bytes, and dimensions of a vector.
@@ -152,6 +154,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     in keep are not looked at; an empty table gives an empty result; an empty
     model calls every text ``und``.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     parts = (model.idf, model.centroids, model.langs, model.least)
     shared = spark.sparkContext.broadcast(parts)  # its size is fixed by DIMENSIONS, CENTROIDS and the number of languages

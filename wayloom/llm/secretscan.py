@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: The base patterns and the least lengths of what they match.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # the run after AKIA is taken whole, so shorter ones can't begin another match
@@ -121,6 +123,7 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     findings; whole texts are read, each by itself; repeated rows and null ids
     are returned as they are; other columns are not looked at.
     """
+    small_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     found = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())]))
 
