@@ -73,12 +73,12 @@ def connected_components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     state = _digest(now)
     for _ in range(most_rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.where("v > u").join(small(least, 2 * state[0]), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         # every edge now has u > v: small-star hangs u's lower neighbours, and u, on the lowest
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         step = (
-            large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            large.join(small(low, 2 * state[0]), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         )
         after = materialize(step, "edges")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, discard, materialize, small
+from .common import connected_components, discard, materialize, small, small_batches
 from .textgrams import mix, shingle_sets
 
 #: Documents up to which a token counts as rare, and is an index entry by itself.
@@ -38,13 +38,14 @@ MOST_COMBINED = 48
 #: Text bytes whose token prints make a bucket, on average.
 BUCKET_BYTES = 16 << 20
 #: Leaders of a group in one round, and rounds with leaders at most.
-LEADERS, ROUNDS = 4, 8
+DEBUG = False
+LEADERS, ROUNDS = 8, 6
 
 _U = np.uint64
 _PRINTS = "bucket int, kind int, src long, index binary, data binary"
 
 
-def _batches(batches, rows: int = 4096):
+def _batches(batches, rows: int = 1024):
     for batch in batches:
         for start in range(0, len(batch), rows):
             yield batch.slice(start, rows)
@@ -141,6 +142,16 @@ def _sizes_allow(a: str, b: str, percent: int) -> Column:
     return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
 
 
+def _enough(rest: str, a: str, b: str, percent: int) -> Column:
+    """Whether ``rest`` shared tokens can link sets of a and b.
+
+    The first token that two linked sets share is an entry of both (or begins a
+    combination that is), and all they share stands from there on; so an entry
+    whose rest can't do may be left out, as it is the first of no linked pair.
+    """
+    return F.expr(f"{100 + percent} * {rest} >= {percent} * ({a} + {b})")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link."""
     left, right = (sets.select(F.col("rep").alias(c), F.col("hs").alias(f"h{c}")) for c in ("a", "b"))
@@ -157,51 +168,60 @@ def _entries(sets: DataFrame, percent: int) -> DataFrame:
     rows = shared.join(sets.select("rep", F.size("hs").alias("n")), "rep")
     # tokens that occur once come first in the order, and can't be shared
     rows = rows.withColumn("take", F.col("n") - _needed("n", percent) + COMBINED - (F.col("n") - F.size("ts"))).where("take > 0 and n > 1")
-    rows = materialize(rows.select("rep", "n", F.slice(F.array_sort("ts"), 1, F.col("take")).alias("ts")), "prefixes")
-    ordered = rows.select(
-        "rep", "n",
-        F.transform(F.filter("ts", lambda t: t["df"] <= RARE), lambda t: t["h"]).alias("rare"),
-        F.transform(F.filter("ts", lambda t: t["df"] > RARE), lambda t: t["h"]).alias("often"),
-    ).withColumn("big", F.size("often") > MOST_COMBINED)
-    pairs_of = F.flatten(F.transform("often", lambda x: F.transform(F.filter("often", lambda y: y > x), lambda y: F.xxhash64(F.lit("two"), x, y))))
+    rows = rows.select("rep", "n", F.size("ts").alias("m"), F.slice(F.array_sort("ts"), 1, F.col("take")).alias("ts"))
+    rows = materialize(rows.withColumn("ts", F.transform("ts", lambda t, i: F.struct(t["df"].alias("df"), t["h"].alias("h"), (F.col("m") - i).cast("int").alias("rest")))), "prefixes")
+    ordered = rows.select("rep", "n", F.filter("ts", lambda t: t["df"] <= RARE).alias("rare"), F.filter("ts", lambda t: t["df"] > RARE).alias("often"))
+    ordered = ordered.withColumn("big", F.size("often") > MOST_COMBINED)
+    entry = lambda key, single, rest: F.struct(key.alias("key"), F.lit(single).alias("single"), rest.alias("rest"))
+    pairs_of = F.flatten(
+        F.transform("often", lambda x: F.transform(F.filter("often", lambda y: y["h"] > x["h"]), lambda y: entry(F.xxhash64(F.lit("two"), x["h"], y["h"]), False, F.greatest(x["rest"], y["rest"]))))
+    )
     keys = F.concat(
-        F.transform("rare", lambda h: F.struct(h.alias("key"), F.lit(False).alias("single"))),
-        F.when(F.col("big"), F.array().cast("array<struct<key:bigint,single:boolean>>")).otherwise(F.transform(pairs_of, lambda h: F.struct(h.alias("key"), F.lit(False).alias("single")))),
-        F.transform("often", lambda h: F.struct(F.xxhash64(F.lit("one"), h).alias("key"), F.lit(True).alias("single"))),
+        F.transform("rare", lambda t: entry(t["h"], False, t["rest"])),
+        F.when(F.col("big"), F.array().cast("array<struct<key:bigint,single:boolean,rest:int>>")).otherwise(pairs_of),
+        F.transform("often", lambda t: entry(F.xxhash64(F.lit("one"), t["h"]), True, t["rest"])),
     )
-    entries = ordered.select("rep", "n", "big", F.explode_outer(keys).alias("e")).where("e is not null").select("e.key", "e.single", "rep", "n", "big")
+    entries = ordered.select("rep", "n", "big", F.explode_outer(keys).alias("e")).where("e is not null").select("e.key", "e.single", "e.rest", "rep", "n", "big")
     # single entries of frequent tokens only serve pairs with a set too big for combinations
-    groups = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.max("big").alias("some_big"), F.max("single").alias("s"))
-    live = groups.where("members > 1 and (some_big or not s)").select("key")
-    return materialize(entries.join(live, "key", "left_semi"), "entries")
+    groups = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.max("big").alias("some_big"), F.max("single").alias("s"), F.min("n").alias("least"))
+    groups = groups.where("members > 1 and (some_big or not s)").select("key", "least")
+    # what is left of a set from its entry on must do for the smallest set of the group
+    live = entries.join(groups, "key").where(_enough("rest", "n", "least", percent)).drop("least")
+    return materialize(live, "entries")
 
 
 def _components(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(rep, comp) for the sets that link, found group by group."""
-    first = entries.groupBy("key").agg(F.min(F.struct("n", "rep")).alias("l")).select("key", F.col("l.n").alias("ln"), F.col("l.rep").alias("l"))
-    pairs = entries.join(first, "key").where("rep <> l").where(_sizes_allow("n", "ln", percent)).select(F.least("rep", "l").alias("a"), F.greatest("rep", "l").alias("b")).distinct()
+    first = entries.groupBy("key").agg(F.min(F.struct("n", "rep", "rest")).alias("l")).select("key", F.col("l.n").alias("ln"), F.col("l.rest").alias("lr"), F.col("l.rep").alias("l"))
+    allowed = lambda n, m, r, q: _sizes_allow(n, m, percent) & _enough(f"least({r}, {q})", n, m, percent)
+    pairs = entries.join(first, "key").where("rep <> l").where(allowed("n", "ln", "rest", "lr")).select(F.least("rep", "l").alias("a"), F.greatest("rep", "l").alias("b")).distinct()
     links = materialize(_verified(materialize(pairs, "pairs"), sets, percent), "links")
     comps = materialize(connected_components(links), "components")
-    size = entries.count()
+    size, before = entries.count(), None
+    nodes = materialize(entries.select("rep", "n").distinct(), "nodes")
     for turn in range(ROUNDS + 1):
-        known = entries.join(comps, entries["rep"] == comps["node"], "left").select("key", "single", "rep", "n", "big", F.coalesce("comp", "rep").alias("comp"))
-        seeds = [F.min_by(F.struct("rep", "n"), F.xxhash64("rep", F.lit(turn * LEADERS + i))) for i in range(LEADERS)]
-        parts = known.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.array_distinct(F.array(*seeds)).alias("ls"))
-        groups = parts.groupBy("key").agg(
-            F.max(F.struct("c", "comp", "ls")).alias("top"), F.sum("c").alias("members"), F.sum(F.col("c") * F.col("c")).alias("squares")
-        ).where("members > top.c")
-        groups = materialize(groups.select("key", F.col("top.comp").alias("top"), "top.ls", ((F.col("members") * F.col("members") - F.col("squares")) / 2).cast("long").alias("crossing")), "groups")
+        known = entries.join(comps, entries["rep"] == comps["node"], "left").select("key", "single", "rest", "rep", "n", "big", F.coalesce("comp", "rep").alias("comp"))
+        parts = known.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+        groups = parts.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("members"), F.sum(F.col("c") * F.col("c")).alias("squares")).where("members > top.c")
+        groups = materialize(groups.select("key", F.col("top.comp").alias("top"), ((F.col("members") * F.col("members") - F.col("squares")) / 2).cast("long").alias("crossing")), "groups")
         crossing = groups.agg(F.sum("crossing")).first()[0] or 0
         if not crossing:
             break
         open_rows = known.join(groups, "key")
-        last = crossing <= size or turn == ROUNDS
+        # another round unless what is left is little, or the last one joined little of it
+        last = crossing <= size // 2 or turn == ROUNDS or (before is not None and crossing > 0.7 * before)
+        before = crossing
+        print("   crossing", turn, crossing, size, last) if DEBUG else None
         if last:
-            left = open_rows.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("big").alias("ba"), "single", F.col("comp").alias("ca"))
-            right = known.join(groups.select("key"), "key", "left_semi").select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("big").alias("bb"), F.col("comp").alias("cb"))
-            pairs = left.join(right, "key").where("ca <> cb and a < b and (not single or ba or bb)").where(_sizes_allow("na", "nb", percent)).select("a", "b").distinct()
+            left = open_rows.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra"), F.col("big").alias("ba"), "single", F.col("comp").alias("ca"))
+            right = known.join(groups.select("key"), "key", "left_semi").select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"), F.col("big").alias("bb"), F.col("comp").alias("cb"))
+            pairs = left.join(right, "key").where("ca <> cb and a < b and (not single or ba or bb)").where(allowed("na", "nb", "ra", "rb")).select("a", "b").distinct()
         else:
-            out = open_rows.where("comp <> top").select("rep", "n", F.explode("ls").alias("l"))
+            members = nodes.join(comps, nodes["rep"] == comps["node"], "left").withColumn("comp", F.coalesce("comp", "rep"))
+            seeds = [F.min_by(F.struct("rep", "n"), F.xxhash64("rep", F.lit(turn * LEADERS + i))) for i in range(LEADERS)]
+            leaders = members.groupBy("comp").agg(F.array_distinct(F.array(*seeds)).alias("ls"))
+            out = open_rows.where("comp <> top").select("rep", "n", F.col("top").alias("comp")).distinct().join(leaders, "comp")
+            out = out.select("rep", "n", F.explode("ls").alias("l"))
             pairs = out.where(_sizes_allow("n", "l.n", percent)).select(F.least("rep", "l.rep").alias("a"), F.greatest("rep", "l.rep").alias("b")).distinct()
         pairs = materialize(pairs, "pairs")
         new = materialize(_verified(pairs, sets, percent), "links")
@@ -235,6 +255,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     part: they have no component.  Rows that repeat an id are one node of the
     graph; other columns are not looked at; an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0

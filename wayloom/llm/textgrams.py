@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are hashed at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _U = np.uint64
 
 
