@@ -31,14 +31,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, new_path
+from .common import materialize, new_path, small_batches
 
 MAGIC = b"WLWAVE01"
 CHUNK_BYTES = 1 << 15
 #: Ids after which a shard file is closed, at the next document's end.
 SHARD_TOKENS = 1 << 21
-#: Pieces of text whose ids a worker remembers.
-CACHE_PIECES = 600_000
+#: Pieces of text whose ids a worker remembers, twice: recent ones, and those before them.
+CACHE_PIECES = 800_000
 
 
 # -- encoding -----------------------------------------------------------------
@@ -50,11 +50,12 @@ class PieceEncoder:
     The tokenizer's own pattern never joins text across a single space, or a
     single line feed, that stands between characters that are not white space:
     the space begins the next word and the line feed is a word of its own.
+    Nor does it join letters and the point or comma that ends a piece.
     Pieces between such places therefore have the ids that they have within the
     whole text.  Texts with runs of white space are cut only at such spaces.
     """
 
-    _ISOLATED = re.compile(r"\s\s|^\s|\s\Z")
+    _OTHER = re.compile(r"[^\S \n]")  # white space but space and line feed
     _CUT = re.compile(r"(?<=\S) (?=\S)")
 
     def __init__(self, path: str, most: int = CACHE_PIECES):
@@ -63,42 +64,79 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
-        self.heads: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
-        self.line_feed = self._encode(["\n"])[0]
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
+        # pieces at the start of a line or text, and those after a space: the recent ones, and the ones before them
+        self.heads: list[dict[str, bytes]] = [{}, {}]
+        self.tails: list[dict[str, bytes]] = [{}, {}]
+        self.line_feed = self._each(["\n"])[0]
+        self.marks = dict(zip(".,", self._each([".", ","])))
+        if len(self.line_feed) != 4:
+            raise ValueError("a line feed must be one id")
+
+    def _each(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _encode(self, pieces: list[str], lead: str) -> dict[str, bytes]:
+        """Ids of pieces, each after ``lead``; those without line feeds go in one text, a line each."""
+        plain = [p for p in pieces if p and "\n" not in p and not p[0].isspace() and not p[-1].isspace()]
+        out = {}
+        if len(plain) < len(pieces):
+            odd = list(set(pieces).difference(plain))
+            out = dict(zip(odd, self._each([lead + p for p in odd])))
+        feed = int.from_bytes(self.line_feed, "little")
+        for start in range(0, len(plain), 4096):
+            some = plain[start : start + 4096]
+            ids = np.array(self.tokenizer.encode_batch_fast([lead + f"\n{lead}".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.append(np.flatnonzero(ids == feed), len(ids)).tolist()
+            raw, at = ids.tobytes(), 0
+            for p, end in zip(some, ends, strict=True):
+                out[p] = raw[4 * at : 4 * end]
+                at = end + 1
+        return out
+
+    def _known(self, kept: list[dict[str, bytes]], wanted: set[str], lead: str) -> dict[str, bytes]:
+        """The recent pieces, with all that are wanted."""
+        recent, before = kept
+        missing = wanted.difference(recent)
+        if len(recent) + len(missing) > self.most:
+            kept[:] = recent, before = {}, recent
+            missing = wanted
+        found = missing.intersection(before)
+        recent.update((p, before[p]) for p in found)
+        # a point or comma after a letter is a word of its own: words are encoded without
+        new = missing.difference(found)
+        bare = {p: p[:-1] for p in new if p[-1:] in self.marks and p[-2:-1].isalpha()}
+        words = set(bare.values()).difference(recent)
+        again = words.intersection(before)
+        recent.update((p, before[p]) for p in again)
+        recent.update(self._encode(list(words.difference(again).union(new.difference(bare))), lead))
+        recent.update((p, recent[w] + self.marks[p[-1]]) for p, w in bare.items())
+        return recent
+
+    def _lines(self, t: str) -> list[list[str]] | None:
+        """Lines of pieces, if all white space is single spaces and line feeds between other characters."""
+        if not t or "  " in t or "\n\n" in t or " \n" in t or "\n " in t or t[0] in " \n" or t[-1] in " \n" or self._OTHER.search(t):
+            return None
+        return [line.split(" ") for line in t.split("\n")]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = []
-        for t in texts:
-            if self._ISOLATED.search(t) is None:
-                cut.append([line.split(" ") for line in t.split("\n")])
-            else:
-                cut.append([self._CUT.split(t)])
+        cut = [self._lines(t) or [self._CUT.split(t)] for t in texts]
         heads, tails = set(), set()
         for lines in cut:
             for pieces in lines:
                 heads.add(pieces[0])
                 tails.update(pieces[1:])
-        for known, wanted, lead in ((self.heads, heads, ""), (self.tails, tails, " ")):
-            missing = list(wanted.difference(known))
-            if len(known) + len(missing) > self.most:
-                known.clear()
-                missing = list(wanted)
-            known.update(zip(missing, self._encode([lead + p for p in missing])))
-        head, tail, feed = self.heads.__getitem__, self.tails.__getitem__, self.line_feed
+        head = self._known(self.heads, heads, "").__getitem__
+        tail, feed = self._known(self.tails, tails, " ").__getitem__, self.line_feed
         out = []
         for lines in cut:
             parts = []
             for pieces in lines:
-                if parts:
-                    parts.append(feed)
                 parts.append(head(pieces[0]))
                 parts.extend(map(tail, pieces[1:]))
+                parts.append(feed)
+            parts.pop()
             out.append(b"".join(parts))
         return out
 
@@ -298,6 +336,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str =
     attempt at a task and only files of attempts that succeeded are listed, so a
     lost executor leaves no wrong file behind.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     folder = folder or new_path(spark, "tokens")
     end = np.array([end_id], dtype="<u4").tobytes()
