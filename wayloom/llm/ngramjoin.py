@@ -14,7 +14,7 @@ Three things keep the work near the number of documents:
   possible members leave before any set is stored.
 * Rows with equal sets are one class, with its smallest id for all of them.
 * Entries' groups are linked through leaders, not as all pairs: members are
-  verified against a leader, then what is left in other components against
+  verified against the one with fewest tokens of its own, then what is left in other components against
   leaders of the group's largest one, until the pairs of different components
   are few; those are all verified.  No pair is skipped except within a component.
 """
@@ -38,7 +38,6 @@ MOST_COMBINED = 48
 #: Text bytes whose token prints make a bucket, on average.
 BUCKET_BYTES = 16 << 20
 #: Leaders of a group in one round, and rounds with leaders at most.
-DEBUG = False
 LEADERS, ROUNDS = 8, 6
 
 _U = np.uint64
@@ -170,7 +169,7 @@ def _entries(sets: DataFrame, percent: int) -> DataFrame:
     rows = rows.withColumn("take", F.col("n") - _needed("n", percent) + COMBINED - (F.col("n") - F.size("ts"))).where("take > 0 and n > 1")
     rows = rows.select("rep", "n", F.size("ts").alias("m"), F.slice(F.array_sort("ts"), 1, F.col("take")).alias("ts"))
     rows = materialize(rows.withColumn("ts", F.transform("ts", lambda t, i: F.struct(t["df"].alias("df"), t["h"].alias("h"), (F.col("m") - i).cast("int").alias("rest")))), "prefixes")
-    ordered = rows.select("rep", "n", F.filter("ts", lambda t: t["df"] <= RARE).alias("rare"), F.filter("ts", lambda t: t["df"] > RARE).alias("often"))
+    ordered = rows.select("rep", "n", (F.col("n") - F.col("m")).alias("own"), F.filter("ts", lambda t: t["df"] <= RARE).alias("rare"), F.filter("ts", lambda t: t["df"] > RARE).alias("often"))
     ordered = ordered.withColumn("big", F.size("often") > MOST_COMBINED)
     entry = lambda key, single, rest: F.struct(key.alias("key"), F.lit(single).alias("single"), rest.alias("rest"))
     pairs_of = F.flatten(
@@ -181,7 +180,7 @@ def _entries(sets: DataFrame, percent: int) -> DataFrame:
         F.when(F.col("big"), F.array().cast("array<struct<key:bigint,single:boolean,rest:int>>")).otherwise(pairs_of),
         F.transform("often", lambda t: entry(F.xxhash64(F.lit("one"), t["h"]), True, t["rest"])),
     )
-    entries = ordered.select("rep", "n", "big", F.explode_outer(keys).alias("e")).where("e is not null").select("e.key", "e.single", "e.rest", "rep", "n", "big")
+    entries = ordered.select("rep", "n", "own", "big", F.explode_outer(keys).alias("e")).where("e is not null").select("e.key", "e.single", "e.rest", "rep", "n", "own", "big")
     # single entries of frequent tokens only serve pairs with a set too big for combinations
     groups = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.max("big").alias("some_big"), F.max("single").alias("s"), F.min("n").alias("least"))
     groups = groups.where("members > 1 and (some_big or not s)").select("key", "least")
@@ -192,13 +191,13 @@ def _entries(sets: DataFrame, percent: int) -> DataFrame:
 
 def _components(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(rep, comp) for the sets that link, found group by group."""
-    first = entries.groupBy("key").agg(F.min(F.struct("n", "rep", "rest")).alias("l")).select("key", F.col("l.n").alias("ln"), F.col("l.rest").alias("lr"), F.col("l.rep").alias("l"))
+    first = entries.groupBy("key").agg(F.min(F.struct("own", "n", "rep", "rest")).alias("l")).select("key", F.col("l.n").alias("ln"), F.col("l.rest").alias("lr"), F.col("l.rep").alias("l"))
     allowed = lambda n, m, r, q: _sizes_allow(n, m, percent) & _enough(f"least({r}, {q})", n, m, percent)
     pairs = entries.join(first, "key").where("rep <> l").where(allowed("n", "ln", "rest", "lr")).select(F.least("rep", "l").alias("a"), F.greatest("rep", "l").alias("b")).distinct()
     links = materialize(_verified(materialize(pairs, "pairs"), sets, percent), "links")
     comps = materialize(connected_components(links), "components")
     size, before = entries.count(), None
-    nodes = materialize(entries.select("rep", "n").distinct(), "nodes")
+    nodes = materialize(entries.select("rep", "n", "own").distinct(), "nodes")
     for turn in range(ROUNDS + 1):
         known = entries.join(comps, entries["rep"] == comps["node"], "left").select("key", "single", "rest", "rep", "n", "big", F.coalesce("comp", "rep").alias("comp"))
         parts = known.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
@@ -211,14 +210,14 @@ def _components(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         # another round unless what is left is little, or the last one joined little of it
         last = crossing <= size // 2 or turn == ROUNDS or (before is not None and crossing > 0.7 * before)
         before = crossing
-        print("   crossing", turn, crossing, size, last) if DEBUG else None
         if last:
             left = open_rows.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra"), F.col("big").alias("ba"), "single", F.col("comp").alias("ca"))
             right = known.join(groups.select("key"), "key", "left_semi").select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"), F.col("big").alias("bb"), F.col("comp").alias("cb"))
             pairs = left.join(right, "key").where("ca <> cb and a < b and (not single or ba or bb)").where(allowed("na", "nb", "ra", "rb")).select("a", "b").distinct()
         else:
             members = nodes.join(comps, nodes["rep"] == comps["node"], "left").withColumn("comp", F.coalesce("comp", "rep"))
-            seeds = [F.min_by(F.struct("rep", "n"), F.xxhash64("rep", F.lit(turn * LEADERS + i))) for i in range(LEADERS)]
+            order = [F.struct("own", "n", "rep"), *[F.xxhash64("rep", F.lit(turn * LEADERS + i)) for i in range(1, LEADERS)]]
+            seeds = [F.min_by(F.struct("rep", "n"), o) for o in order]
             leaders = members.groupBy("comp").agg(F.array_distinct(F.array(*seeds)).alias("ls"))
             out = open_rows.where("comp <> top").select("rep", "n", F.col("top").alias("comp")).distinct().join(leaders, "comp")
             out = out.select("rep", "n", F.explode("ls").alias("l"))
