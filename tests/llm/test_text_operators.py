@@ -1,6 +1,8 @@
 """Secrets, line windows, decontamination, language, and their edge cases."""
 
+import base64
 import hashlib
+import random
 import re
 
 import pytest
@@ -164,3 +166,27 @@ def test_language_edges(spark, edge):
     assert langid.identify(edge, model, keep=("n_words", "fp")).count() == len(EDGE)
     nothing = langid.train(edge.withColumn("lang", F.lit(None).cast("string")))
     assert {r["lang_pred"] for r in langid.identify(edge, nothing).collect()} == {"und"}
+
+
+def noise():
+    """Texts of no training language: encoded bytes, unseen scripts, signs with a letter, in several lengths."""
+    r = random.Random(3)
+    russian = "Съешь же ещё этих мягких французских булок, да выпей чаю. Все люди рождаются свободными и равными в своём достоинстве и правах. "
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randint(2, 9)))
+    out = ["Привет, как дела? Сегодня хорошая погода.", russian, russian * 5]
+    for n in (100, 400, 2000):
+        out += [base64.b64encode(r.randbytes(n)).decode(), r.randbytes(n).hex(), "a" + "".join(r.choice("0123456789") for _ in range(n))]
+        out += [" ".join(word(x) for _ in range(n // 6)) for x in ("абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω")]
+        out += ["".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(n)), "".join(r.choice("!@#$%^&*()_+-=[]{}|;a") for _ in range(n))]
+    return out
+
+
+def test_language_rejects_noise_and_unseen_scripts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.train(docs.where(langid.fold() != 2))
+    texts = noise()
+    odd = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["rejected"] for r in langid.identify(odd, model).collect()}
+    assert [texts[i][:40] for i in range(len(texts)) if not got[i]] == []
+    held = langid.identify(docs.where(langid.fold() == 2), model)
+    assert held.where("rejected").count() <= 0.01 * held.count()

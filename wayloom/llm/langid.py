@@ -7,6 +7,8 @@ cosine is predicted, and a text too far from all of them is rejected.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,8 +23,12 @@ LENGTHS, DIMENSIONS = (1, 2, 3, 4), 1 << 13
 #: Training texts of a language, about: a bounded, documented sample of rows, each with its whole text.
 SAMPLE = 300
 CENTROIDS, ITERATIONS = 4, 12
-#: A text is rejected if its cosine is below this share of the low end of its language's training texts.
-REJECT_SHARE = 0.25
+#: Share of a language's training texts, those farthest from their mean, that no centroid is made of: a text of digits would be one by itself and accept all noise.
+OUTLIERS = 0.02
+#: Text lengths in bytes at which a language's least cosine is measured, and the share of its training texts below it.
+CUTS, REJECT_QUANTILE = tuple(1 << i for i in range(2, 14)), 0.01
+#: Training texts from which a language's own quantile counts; with fewer, that of all languages does.
+ENOUGH = 100
 UNDETERMINED = "und"
 
 _fold = np.arange(256, dtype=np.uint8)
@@ -62,7 +68,7 @@ def has_letter(text: str) -> bool:
 
 
 class Model:
-    """Centroids (unit vectors), their languages, and the least cosine each language accepts."""
+    """Centroids (unit vectors), their languages, and the least cosines each language accepts, one for each length of CUTS."""
 
     def __init__(self, idf, centroids, langs, least):
         self.idf, self.centroids, self.langs, self.least = idf, centroids, langs, least
@@ -74,11 +80,12 @@ class Model:
         if not langs:
             return cls(np.ones(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS), np.float32), [], {})
         idf = (np.log((1 + len(langs)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-        v, found, names, least = _vectors(counts, idf), [], [], {}
+        v, found, names = _vectors(counts, idf), [], []
         for lang in sorted(set(langs)):
             mine = v[[x == lang for x in langs]]
-            k = min(centroids, len(mine))
             heart = mine.mean(axis=0)
+            mine = mine[np.sort(np.argsort(mine @ heart, kind="stable")[int(OUTLIERS * len(mine)) :])]
+            k = min(centroids, len(mine))
             own = [int(np.argmax(mine @ heart))]  # the most typical text, then those farthest from the ones chosen
             while len(own) < k:
                 own.append(int(np.argmin((mine @ mine[own].T).max(axis=1))))
@@ -89,8 +96,31 @@ class Model:
                 c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
             found.append(c)
             names += [lang] * k
-            least[lang] = REJECT_SHARE * float(np.quantile((mine @ c.T).max(axis=1), 0.01))
-        return cls(idf, np.concatenate(found).astype(np.float32), names, least)
+        return cls(idf, np.concatenate(found).astype(np.float32), names, {})
+
+    def cosines(self, data: np.ndarray, lang: str) -> list[float]:
+        """The cosine of a text, cut to each of the CUTS that it reaches, with the nearest centroid of its language."""
+        own = self.centroids[[x == lang for x in self.langs]]
+        sizes = [n for n in CUTS if n <= len(data)]
+        if not len(own) or not sizes:
+            return []
+        cut = np.concatenate([data[:n] for n in sizes])
+        return (_vectors(grams(cut, np.concatenate(([0], np.cumsum(sizes)))), self.idf) @ own.T).max(axis=1).tolist()
+
+    def accept(self, found: dict[str, list[list[float]]]) -> None:
+        """Set the least cosines; found has, by language, the cosines of texts of that language at each length of CUTS."""
+        shared, last = [], -1.0
+        for i in range(len(CUTS)):
+            every = [x for mine in found.values() for x in mine[i]]
+            last = float(np.quantile(every, REJECT_QUANTILE)) if len(every) >= ENOUGH else last
+            shared.append(last)
+        for lang in sorted(set(self.langs)):
+            mine = found.get(lang, [[]] * len(CUTS))
+            self.least[lang] = [float(np.quantile(x, REJECT_QUANTILE)) if len(x) >= ENOUGH else shared[i] for i, x in enumerate(mine)]
+
+    def least_at(self, lang: str, size: int) -> float:
+        """The least cosine for a text of so many bytes; a model that was not calibrated accepts all."""
+        return float(np.interp(math.log2(max(1, size)), np.log2(CUTS), self.least[lang])) if lang in self.least else -1.0
 
     def predict(self, column: pa.Array) -> tuple[list[str], list[float], list[bool]]:
         """Language, cosine and whether it is rejected, for each text."""
@@ -113,7 +143,7 @@ class Model:
                         continue
                     langs.append(self.langs[best])
                     scores.append(min(1.0, max(0.0, float(cos[i, best]))))
-                    rejected.append(scores[-1] < self.least[self.langs[best]])
+                    rejected.append(scores[-1] < self.least_at(langs[-1], len(part)))
         return langs, scores, rejected
 
 
@@ -123,6 +153,10 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", key_c
     The sample is drawn by a hash of the key, so it does not depend on order or
     partitions.  Texts are counted where they are; the driver gets a vector of
     DIMENSIONS for each sampled text.  Rows without text or language are left out.
+
+    The least cosines come from the same texts, cut to several lengths: each
+    half of them is measured against centroids of the other half.  So a text is
+    judged by what texts of its length reach that the centroids have not seen.
     """
     good = rows.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.shiftrightunsigned(F.xxhash64(F.col(key_col).cast("string"), F.lit(11)), 11).alias("k"), F.col(text_col).alias("text")
@@ -134,15 +168,40 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", key_c
     for lang, n in sorted(sizes.items()):
         drawn = drawn | ((F.col("lang") == lang) & (F.col("k") < F.lit(int(2**53 * min(1.0, sample / n)))))
 
+    mine = good.where(drawn).select("lang", "text", F.col("k").bitwiseAND(1).cast("int").alias("half"))
+
     def count(batches):
         for batch in batches:
             for start in range(0, len(batch), 256):
                 some = batch.slice(start, 256)
                 found = [x.tobytes() for _, d, o in text_slices(some.column(1)) for x in grams(d, o)]
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(found, pa.binary())], names=["lang", "counts"])
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), pa.array(found, pa.binary())], names=["lang", "half", "counts"])
 
-    got = sorted((r["lang"], bytes(r["counts"])) for r in good.where(drawn).select("lang", "text").mapInArrow(count, "lang string, counts binary").collect())
-    return Model.fit(np.stack([np.frombuffer(c, np.float32) for _, c in got]) if got else np.zeros((0, DIMENSIONS), np.float32), [lang for lang, _ in got])
+    got = sorted((r["lang"], bytes(r["counts"]), r["half"]) for r in mine.mapInArrow(count, "lang string, half int, counts binary").collect())
+
+    def fitted(rows: list[tuple]) -> Model:
+        return Model.fit(np.stack([np.frombuffer(c, np.float32) for _, c, _ in rows]) if rows else np.zeros((0, DIMENSIONS), np.float32), [r[0] for r in rows])
+
+    model, halves = fitted(got), [fitted([r for r in got if r[2] == h]) for h in (0, 1)]
+    shared = rows.sparkSession.sparkContext.broadcast([(m.idf, m.centroids, m.langs, m.least) for m in halves])
+
+    def measure(batches):
+        others = [Model(*m) for m in reversed(shared.value)]
+        for batch in batches:
+            langs, cosines = batch.column(0).to_pylist(), []
+            for first, data, offsets in text_slices(batch.column(1)):
+                for i in range(len(offsets) - 1):
+                    half = batch.column(2)[first + i].as_py()
+                    cosines.append(others[half].cosines(data[offsets[i] : offsets[i + 1]], langs[first + i]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cosines, pa.list_(pa.float64()))], names=["lang", "cosines"])
+
+    found: dict[str, list[list[float]]] = {}
+    for r in mine.mapInArrow(measure, "lang string, cosines array<double>").collect():  # a few numbers a sampled text
+        at = found.setdefault(r["lang"], [[] for _ in CUTS])
+        for i, x in enumerate(r["cosines"]):
+            at[i].append(x)
+    model.accept(found)
+    return model
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -150,7 +209,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     A null text, or one without a letter, is ``und`` with score 0 and rejected.
     The whole text counts.  rejected also marks texts whose cosine with the
-    nearest centroid is below the least that the language accepts.  Columns not
+    nearest centroid is below the least that the language accepts at the text's
+    length.  Columns not
     in keep are not looked at; an empty table gives an empty result; an empty
     model calls every text ``und``.
     """
