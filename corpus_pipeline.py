@@ -32,8 +32,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's pieces in bins of several sequence lengths."""
-    return packing.best_fit(docs)
+    """Every document's pieces in bins of several sequence lengths; the unit is words and an end mark, not token ids."""
+    return packing.best_fit(docs).withColumnRenamed("n_tokens", "n_words")
 
 
 STAGES = [

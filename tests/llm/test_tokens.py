@@ -5,7 +5,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from wayloom.llm import wavelet
+from conftest import DATA
+from wayloom.llm import queries, wavelet
 from wayloom.llm.queries import tokenizer_path
 
 
@@ -59,3 +60,21 @@ def test_files_round_trip(spark, encoder):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert wavelet.read_shards(wavelet.write_shards(docs, tokenizer_path())).count() == 0
+
+
+def test_packing_query_packs_token_ids(spark):
+    got = queries.op3_variable_best_fit(spark, str(DATA)).collect()
+    want = {r["doc_id"]: r["n_tokens"] for r in queries.op1_wavelet_tokens(spark, str(DATA)).collect()}
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == want
+    sizes = {}
+    for r in got:
+        sizes[r["doc_id"]] = sizes.get(r["doc_id"], 0) + r["piece_len"]
+    assert sizes == want
+
+
+def test_counts_are_those_of_the_ids(spark, encoder):
+    texts = ["", "one", "two  spaces\n", "a b\nc d.", "日本" * 9000, "x" * 9000]
+    assert encoder.count(texts) == [len(plain(encoder, t)) // 4 for t in texts]
+    rows = [(1, None), (1, "one"), (None, "日本" * 9000)]
+    got = wavelet.token_counts(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer_path()).collect()
+    assert sorted(r["n_tokens"] for r in got) == sorted(1 + len(plain(encoder, t or "")) // 4 for _, t in rows)

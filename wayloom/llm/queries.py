@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exactdedup, htmlmain, langid, linededup, ngramjoin, packing, secretscan, shardtree, wavelet, winnow
-from .common import table
+from .common import materialize, table
 
 
 def tokenizer_path() -> str:
@@ -26,7 +26,8 @@ def op2_assignment_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_variable_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.best_fit(table(spark, sf_dir, "documents"))
+    counted = materialize(wavelet.token_counts(table(spark, sf_dir, "documents"), tokenizer_path()), "token_counts")
+    return packing.best_fit(counted, length=F.col("n_tokens"))
 
 
 def op4_token_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -119,16 +119,26 @@ class PieceEncoder:
             return None
         return [line.split(" ") for line in t.split("\n")]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
+    def _pieces(self, texts: list[str]) -> tuple[list, dict[str, bytes], dict[str, bytes]]:
+        """Lines of pieces of each text, and the ids of pieces that begin a line and of the others."""
         cut = [self._lines(t) or [self._CUT.split(t)] for t in texts]
         heads, tails = set(), set()
         for lines in cut:
             for pieces in lines:
                 heads.add(pieces[0])
                 tails.update(pieces[1:])
-        head = self._known(self.heads, heads, "").__getitem__
-        tail, feed = self._known(self.tails, tails, " ").__getitem__, self.line_feed
+        return cut, self._known(self.heads, heads, ""), self._known(self.tails, tails, " ")
+
+    def count(self, texts: list[str]) -> list[int]:
+        """The number of ids of each text."""
+        cut, heads, tails = self._pieces(texts)
+        head, tail = heads.__getitem__, tails.__getitem__
+        return [sum(len(head(p[0])) + sum(map(len, map(tail, p[1:]))) for p in lines) // 4 + len(lines) - 1 for lines in cut]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        cut, heads, tails = self._pieces(texts)
+        head, tail, feed = heads.__getitem__, tails.__getitem__, self.line_feed
         out = []
         for lines in cut:
             parts = []
@@ -321,6 +331,22 @@ def _get(path: str) -> bytes:
         return f.read()
 
 
+def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id_col and n_tokens, the ids of its text and an end mark; a null text is empty."""
+    small_batches(docs.sparkSession)
+    kind = dict(docs.dtypes)[id_col]
+
+    def run(batches):
+        enc = encoder(tokenizer)
+        for batch in batches:
+            for start in range(0, len(batch), 256):
+                some = batch.slice(start, 256)
+                counts = [n + 1 for n in enc.count([t or "" for t in some.column(1).to_pylist()])]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(counts, pa.int64())], names=[id_col, "n_tokens"])
+
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long")
+
+
 MANIFEST = "part long, seq long, path string, n_docs long, n_tokens long, before long"
 
 
