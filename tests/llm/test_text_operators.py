@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,6 +55,31 @@ def test_other_literals_stay_unreported(text):
     assert not [s for s in secretscan.scan(text) if s[0] == "literal"]
 
 
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ('config["password"] = "hunter2-X9"', "hunter2-X9"), ("os.environ['SECRET_TOKEN'] = 'ab12cd34'", "ab12cd34"), ('password: str = "abcd1234"', "abcd1234"),
+        ('c[0]["db"]["password"] = "Zx9kLm2Qp5"', "Zx9kLm2Qp5"), ("x[" + "a" * 80 + ']["pwd"] = "Zx9kLm2Qp5"', "Zx9kLm2Qp5"), ('secret["a"] = "Zx9kLm2Qp5"', "Zx9kLm2Qp5"),
+        ('def f(a, password: Optional[dict[str, str]] | None = "Zx9kLm2Qp5"):', "Zx9kLm2Qp5"), ("let pwd: &'static str = \"Zx9kLm2Qp5\";", "Zx9kLm2Qp5"), ('k = "Qw8eRt5yUi"\npwd: str = k', "Qw8eRt5yUi"),
+        ('note: pwd = "Zx9kLm2Qp5"', "Zx9kLm2Qp5"), ('cfg["a"] = "Qw8eRt5yUi"\npassphrase = cfg["a"]', "Qw8eRt5yUi"),
+    ],
+)
+def test_subscripted_and_typed_targets(text, value):
+    assert value in [text[a:b] for k, a, b in secretscan.scan(text) if k == "literal"]
+
+
+@pytest.mark.parametrize("text", ['config["title"] = "Zx9kLm2Qp5"', 'password["length"] = "Zx9kLm2Qp5"', 'title: str = "Zx9kLm2Qp5"', 'pwd: str == "Zx9kLm2Qp5"'])
+def test_other_targets_stay_unreported(text):
+    assert not [s for s in secretscan.scan(text) if s[0] == "literal"]
+
+
+def test_long_runs_of_subscripts_are_linear():
+    for text in ("a" + '["x"]' * 50000 + " :", "a[" * 50000 + "=", "a:b[" * 50000, "a:b<" * 50000, "a['" * 50000 + "="):
+        start = time.process_time()
+        secretscan.scan(text)
+        assert time.process_time() - start < 10
+
+
 def test_secrets_edges(spark, edge):
     assert secretscan.digest(secretscan.secrets(edge)).count() == len(EDGE)
 

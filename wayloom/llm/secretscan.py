@@ -2,7 +2,9 @@
 
 Besides three base patterns, source and configuration syntax is lexed into
 (name, literal) pairs: ``name = "x"``, ``name: x``, ``"name": "x"``,
-``name => 'x'``, ``export NAME=x``, ``<name>x</name>``-free.  Names that hold a
+``name => 'x'``, ``export NAME=x``, ``<name>x</name>``-free.  A quoted subscript is
+the end of a name (``config["name"] = "x"``), and a type may stand before the
+value (``name: str = "x"``).  Names that hold a
 constant pass it on (``k = "abc"`` then ``password = k``, or ``"a" + k``), and a
 literal is reported when its target's name and its own look make it likely.
 """
@@ -39,8 +41,12 @@ PLACEHOLDERS = {"changeme", "password", "secret", "example", "placeholder", "non
 THRESHOLD = 1.1
 
 _NAME = r"""[A-Za-z_][\w.\-]*"""
+_SUB = r"""(?:[ \t]*(?:"[^"\n]*"|'[^'\n]*')[ \t]*|[^\[\]\n]*|[^\]\n]{0,64})"""
+_KEY = re.compile(r"""\[[ \t]*(?:"([^"\n]*)"|'([^'\n]*)')[ \t]*\]""")
+_ATOM = r"""(?:"[^"\n]*"|'[^'\n]*'|(?:&(?:'\w+[ \t]+)?(?:mut[ \t]+)?|\*)?[A-Za-z_]\w*(?:(?:\.|::)\w+)*(?:\[(?:[^\[\]\n]|\[[^\[\]\n]*\])*+\]|<(?:[^<>=\n]|<[^<>=\n]*>)*+>)?\??)"""
+_TYPE = re.compile(_ATOM + r"""(?:[ \t]*\|[ \t]*""" + _ATOM + r""")*+[ \t]*=(?![=>~])[ \t]*""")
 _PAIR = re.compile(
-    r"""(?:(?P<q>["'])(?P<quoted>""" + _NAME + r""")(?P=q)|(?P<bare>""" + _NAME + r"""))(?:\[[^\]\n]{0,64}\])?[ \t]*(?P<op>:=|=>|==|!=|<=|>=|=|:(?!:))[ \t]*"""
+    r"""(?:(?P<q>["'])(?P<quoted>""" + _NAME + r""")(?P=q)|(?P<bare>""" + _NAME + r"""))(?P<subs>(?:\[""" + _SUB + r"""\])*+)[ \t]*(?P<op>:=|=>|==|!=|<=|>=|=|:(?!:))[ \t]*"""
 )
 _VALUE = re.compile(r"""(?P<quote>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)|(?P<word>[A-Za-z0-9_./+=\-]+)""")
 _PLUS = re.compile(r"[ \t]*\+[ \t]*")
@@ -73,12 +79,10 @@ def pairs(text: str):
     A value that was passed on has the place of the literal where it was written.
     """
     constants: dict[str, list[tuple[str, int, int]]] = {}
-    at = 0
-    while m := _PAIR.search(text, at):
-        at = m.end()
-        if m["op"] in ("==", "!=", "<=", ">="):
-            continue
-        name, found = m["quoted"] or m["bare"], []
+
+    def values(at: int) -> tuple[list[tuple[str, int, int]], int]:
+        """The literals of the value at a place, and where it ends."""
+        found = []
         while v := _VALUE.match(text, at):
             if v["quote"]:
                 found.append((v["quote"][1:-1], v.start() + 1, v.end() - 1))
@@ -91,11 +95,26 @@ def pairs(text: str):
             if not plus:
                 break
             at = plus.end()
-        at = max(at if found else m.end(), m.end())
+        return found, at
+
+    at = 0
+    while m := _PAIR.search(text, at):
+        at = m.end()
+        if m["op"] in ("==", "!=", "<=", ">="):
+            continue
+        base = m["quoted"] or m["bare"]
+        name = ".".join([base, *(a or b for a, b in _KEY.findall(m["subs"]))])
+        found, end = values(at)
         if found:
-            constants[name] = found
+            at = max(at, end)
+            constants[base] = found
             yield name, "".join(f[0] for f in found), found
-    return
+        # what stands before the "=" may be a type, or a name of its own, which the search finds next
+        if m["op"] == ":" and (typed := _TYPE.match(text, m.end())):
+            found, _ = values(typed.end())
+            if found:
+                constants[base] = found
+                yield name, "".join(f[0] for f in found), found
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
