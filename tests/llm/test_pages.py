@@ -60,3 +60,13 @@ def test_edges(spark):
     got = htmlmain.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
     assert got.count() == 5 and {r["text"] for r in got.where("page_id in (1, 2)").collect()} == {""}
     assert htmlmain.extract(got.where("false").withColumn("html", got["text"])).count() == 0
+
+
+def test_hidden_is_an_attribute_of_its_own(model):
+    inner = "<article><h1>Of hills</h1>" + "<p>The hills, which are many, lie to the north of the long river. They are old, and they are green.</p>" * 4 + "</article>"
+    plain = htmlmain.main_texts([f"<div>{inner}</div>"], model)[0]
+    assert "The hills" in plain
+    for seen in ('aria-hidden="false"', 'data-title="The hidden valley"', "data-hidden", 'title="hidden"', "aria-hidden='FALSE' class=\"x\"", 'data-style="display:none"'):
+        assert htmlmain.main_texts([f"<div {seen}>{inner}</div>"], model)[0] == plain, seen
+    for gone in ("hidden", 'hidden=""', "class=x HIDDEN", 'aria-hidden="true"', "aria-hidden=true", 'style="display: none"'):
+        assert "The hills" not in htmlmain.main_texts([f"<div {gone}>{inner}</div>"], model)[0], gone

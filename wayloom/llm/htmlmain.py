@@ -51,7 +51,8 @@ FEATURES = (
 _INSIDE = ("article", "main", "nav", "header", "footer", "aside", "form")
 
 _TAG = re.compile(r"""<(?:!--(?:.*?)(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z))""", re.S)
-_ATTR = re.compile(r"""(class|id|role|itemprop|aria-label|hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+_TOLD = frozenset("class id role itemprop aria-label".split())
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -75,9 +76,9 @@ def _tokens(attributes: str) -> tuple[tuple, bool]:
     groups, hidden = [], False
     for name, value in _ATTR.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
+        if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
             hidden = True
-        elif name != "style":
+        elif name in _TOLD:
             for t in _SPLIT.split(value):
                 t = t.lower()
                 if t in _CLASS:
