@@ -70,3 +70,9 @@ def test_hidden_is_an_attribute_of_its_own(model):
         assert htmlmain.main_texts([f"<div {seen}>{inner}</div>"], model)[0] == plain, seen
     for gone in ("hidden", 'hidden=""', "class=x HIDDEN", 'aria-hidden="true"', "aria-hidden=true", 'style="display: none"'):
         assert "The hills" not in htmlmain.main_texts([f"<div {gone}>{inner}</div>"], model)[0], gone
+
+
+def test_kin_of_large_parents_are_counted():
+    nodes, _ = htmlmain.parse("<div><h2>one</h2>" + "<p>x</p>" * 184 + "</div>")
+    like = htmlmain.features(nodes)[:, htmlmain.FEATURES.index("like_me")]
+    assert {(x.tag, float(n)) for x, n in zip(nodes[2:], like[2:])} == {("h2", 1.0), ("p", 184.0)}

@@ -13,6 +13,7 @@ import html
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -180,6 +181,7 @@ def features(nodes: list[Node]) -> np.ndarray:
     total = max(1, subtree[0])
     out = np.zeros((n, len(FEATURES)), dtype=np.float32)
     inside: list[frozenset] = [frozenset()] * n
+    alike: list[Counter | None] = [None] * n  # tags of a node's children, counted once
     has_article = any(x.tag in ("article", "main") for x in nodes)
     base, tag_at = 16, {t: 16 + i for i, t in enumerate(TAGS)}
     g_at = {g: base + len(TAGS) + i for i, g in enumerate(_GROUPS)}
@@ -189,7 +191,7 @@ def features(nodes: list[Node]) -> np.ndarray:
     for i, x in enumerate(nodes):
         up = x.parent
         if up is not None:
-            above = inside[place[id(up)]]
+            above = inside[at := place[id(up)]]
             mine = above
             if x.tag in e_at:
                 mine = mine | {e_at[x.tag]}
@@ -197,7 +199,9 @@ def features(nodes: list[Node]) -> np.ndarray:
                 mine = mine | {in_at[g] for g in x.tokens}
             inside[i] = mine
             kin = up.children
-            like = sum(1 for k in kin if k.tag == x.tag) if len(kin) < 64 else len(kin) // 2
+            if alike[at] is None:
+                alike[at] = Counter(k.tag for k in kin)
+            like = alike[at][x.tag]
             beside = sum(k.own for k in kin[max(0, x.index - 1) : x.index + 2]) - x.own
         else:
             kin, like, beside = [x], 1, 0
