@@ -23,10 +23,10 @@ import re
 import struct
 import uuid
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,118 +37,208 @@ MAGIC = b"WLWAVE01"
 CHUNK_BYTES = 1 << 15
 #: Ids after which a shard file is closed, at the next document's end.
 SHARD_TOKENS = 1 << 21
-#: Pieces of text whose ids a worker remembers, twice: recent ones, and those before them.
-CACHE_PIECES = 800_000
+#: Words whose ids a worker remembers, and the bytes they may have: beyond either it begins anew.
+CACHE_WORDS, CACHE_BYTES = 2_000_000, 48 << 20
+#: Text bytes that are encoded at once, or one longer text.
+SLICE_BYTES = 8 << 20
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 2500
 
 
 # -- encoding -----------------------------------------------------------------
 
 
 class PieceEncoder:
-    """Encodes with a byte-level BPE tokenizer, piece by piece, and remembers pieces.
+    """Encodes with a byte-level BPE tokenizer, word by word, and remembers words.
 
     The tokenizer's own pattern never joins text across a single space, or a
     single line feed, that stands between characters that are not white space:
-    the space begins the next word and the line feed is a word of its own.
-    Nor does it join letters and the point or comma that ends a piece.
-    Pieces between such places therefore have the ids that they have within the
-    whole text.  Texts with runs of white space are cut only at such spaces.
+    the space begins the next word and the line feed is a word of its own.  Nor
+    does it join a Latin letter and a run of points, commas or other signs that
+    ends a piece.  Pieces between such places therefore have the ids that they
+    have within the whole text.  Texts with other white space are cut only at
+    such spaces.
+
+    Arrow cuts a column of texts and finds the distinct pieces and words; only
+    words that are not known yet reach the tokenizer, many in one text.  The
+    ids of known words stand in one array, from which all texts are gathered.
     """
 
-    _OTHER = re.compile(r"[^\S \n]")  # white space but space and line feed
+    #: White space other than single spaces and line feeds between other characters (RE2 has no Unicode \\s).
+    _ODD = r"  |\n\n| \n|\n |^[ \n]|[ \n]\z|[\t\x0b\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
     _CUT = re.compile(r"(?<=\S) (?=\S)")
-
-    def __init__(self, path: str, most: int = CACHE_PIECES):
+    _WHITE = re.compile(r"\s")
+    #: A word with white space in it, or none at all.
+    _ALONE = r"(?s)\A.\z|\A.+[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    _LETTER_LAST = r"[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]\z"
+    #: Signs that the tokenizer parts from a letter before them.  The apostrophe is not among them: it may join what follows.
+    _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+    def __init__(self, path: str, most: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a worker has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(self._WHITE.search(t) for t in self.special):
+            raise ValueError("special tokens with white space could cross pieces")
+        if hasattr(self.tokenizer.model, "_resize_cache"):  # no word comes twice, so the tokenizer's own cache only costs
+            self.tokenizer.model._resize_cache(0)
+        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.most = most
-        # pieces at the start of a line or text, and those after a space: the recent ones, and the ones before them
-        self.heads: list[dict[str, bytes]] = [{}, {}]
-        self.tails: list[dict[str, bytes]] = [{}, {}]
-        self.line_feed = self._each(["\n"])[0]
-        self.marks = dict(zip(".,", self._each([".", ","])))
-        if len(self.line_feed) != 4:
+        feed = self._each(["\n"])[0]
+        if len(feed) != 1:
             raise ValueError("a line feed must be one id")
-
-    def _each(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    def _encode(self, pieces: list[str], lead: str) -> dict[str, bytes]:
-        """Ids of pieces, each after ``lead``; those without line feeds go in one text, a line each."""
-        plain = [p for p in pieces if p and "\n" not in p and not p[0].isspace() and not p[-1].isspace()]
-        out = {}
-        if len(plain) < len(pieces):
-            odd = list(set(pieces).difference(plain))
-            out = dict(zip(odd, self._each([lead + p for p in odd])))
-        feed = int.from_bytes(self.line_feed, "little")
-        for start in range(0, len(plain), 4096):
-            some = plain[start : start + 4096]
-            ids = np.array(self.tokenizer.encode_batch_fast([lead + f"\n{lead}".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.append(np.flatnonzero(ids == feed), len(ids)).tolist()
-            raw, at = ids.tobytes(), 0
-            for p, end in zip(some, ends, strict=True):
-                out[p] = raw[4 * at : 4 * end]
-                at = end + 1
+        self.line_feed = feed[0]
+        self._forget()
+
+    def _forget(self) -> None:
+        # words with what stands before them, a space or a line feed; entry 0 has no ids, entry 1 those of the line feed itself
+        self.words = pa.array(["\n", ""], pa.string())
+        self.ids = np.array([self.line_feed], dtype="<u4")
+        self.start, self.size = np.zeros(2, np.int64), np.array([0, 1], np.int64)
+
+    def _each(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _places(self, wanted: pa.Array) -> np.ndarray:
+        """Entries of distinct words, each after a space or a line feed; the line feed's own id is not among a word's."""
+        at = pc.index_in(wanted, value_set=self.words)
+        if at.null_count:
+            new = wanted.filter(at.is_null())
+            known, ids, sizes = len(self.words), [], []
+            for lead in ("\n", " "):
+                mine = new.filter(pc.starts_with(new, lead))
+                odd = pc.match_substring_regex(mine, self._ALONE)
+                plain, alone = mine.filter(pc.invert(odd)), mine.filter(odd)
+                self.words = pa.concat_arrays([self.words, plain, alone])
+                for k in range(0, len(plain), 512):
+                    some = plain.slice(k, 512).to_pylist()
+                    if lead == "\n":  # words at the start of a line
+                        text = "".join(some)[1:]
+                    else:
+                        text = "\n".join(some)
+                    got = np.array(self._each([text])[0], dtype="<u4")
+                    feeds = np.flatnonzero(got == self.line_feed)
+                    if len(feeds) != len(some) - 1:
+                        raise ValueError("a word has a line feed's id")
+                    ids.append(np.delete(got, feeds))
+                    sizes.append(np.diff(np.concatenate(([-1], feeds, [len(got)]))) - 1)
+                for got in self._each([x if lead == " " else x[1:] for x in alone.to_pylist()]):
+                    ids.append(np.array(got, dtype="<u4"))
+                    sizes.append(np.array([len(got)]))
+            sizes = np.concatenate(sizes).astype(np.int64)
+            self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.size = np.concatenate([self.size, sizes])
+            self.ids = np.concatenate([self.ids, *ids])
+            fresh = pc.index_in(wanted, value_set=self.words.slice(known))
+            at = pc.if_else(at.is_null(), pc.add(fresh, known), at)
+        return at.to_numpy()
+
+    @staticmethod
+    def _gather(ids: np.ndarray, start: np.ndarray, size: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The ids of entries, one after the other."""
+        out = []
+        for k in range(0, len(places), 1 << 18):
+            some = places[k : k + (1 << 18)]
+            sizes = size[some]
+            shift = start[some] - (np.cumsum(sizes) - sizes)
+            out.append(ids[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))])
+        return np.concatenate(out) if out else ids[:0]
+
+    def _parts(self, pieces: pa.Array) -> np.ndarray:
+        """Three entries for each piece: a line feed before it, its word, the signs that end it; 0 for none.
+
+        A piece stands after a space, or begins with the line feed that is before it.
+        """
+        fed = pc.starts_with(pieces, "\n")
+        body = pc.if_else(fed, pc.utf8_slice_codeunits(pieces, 1), pieces)
+        word = pc.utf8_rtrim(body, characters=self._SIGNS)
+        cut = pc.match_substring_regex(word, self._LETTER_LAST)
+        for t in self.special:
+            cut = pc.and_(cut, pc.invert(pc.match_substring(body, t)))
+        word = pc.if_else(cut, word, body)
+        keys = pc.binary_join_element_wise(pc.if_else(fed, "\n", " "), word, "")
+        rest = np.asarray(pc.binary_length(body)) - np.asarray(pc.binary_length(word))  # signs are a byte each
+        longer = np.flatnonzero(rest)
+        _, offsets, data = body.buffers()
+        stops = np.frombuffer(offsets, np.int32)[body.offset + 1 : body.offset + 1 + len(body)].astype(np.int64)[longer]
+        many = rest[longer].astype(np.int64)
+        # a line feed, then the signs
+        cuts = np.cumsum(many + 1)
+        ends = np.full(int(cuts[-1]) if len(cuts) else 0, 10, np.uint8)
+        signs = np.ones(len(ends), bool)
+        signs[cuts - many - 1] = False
+        ends[signs] = np.frombuffer(data, np.uint8)[np.repeat(stops - np.cumsum(many), many) + np.arange(int(many.sum()))]
+        ends = pa.Array.from_buffers(pa.string(), len(many), [None, pa.py_buffer(np.concatenate(([0], cuts)).astype(np.int32).tobytes()), pa.py_buffer(ends.tobytes())])
+        both = pa.concat_arrays([keys, ends]).dictionary_encode()
+        at = self._places(both.dictionary)[np.asarray(both.indices)]
+        out = np.zeros((len(pieces), 3), np.int64)
+        out[:, 0] = np.asarray(fed)
+        out[:, 1] = at[: len(pieces)]
+        out[longer, 2] = at[len(pieces) :]
         return out
 
-    def _known(self, kept: list[dict[str, bytes]], wanted: set[str], lead: str) -> dict[str, bytes]:
-        """The recent pieces, with all that are wanted."""
-        recent, before = kept
-        missing = wanted.difference(recent)
-        if len(recent) + len(missing) > self.most:
-            kept[:] = recent, before = {}, recent
-            missing = wanted
-        found = missing.intersection(before)
-        recent.update((p, before[p]) for p in found)
-        # a point or comma after a letter is a word of its own: words are encoded without
-        new = missing.difference(found)
-        bare = {p: p[:-1] for p in new if p[-1:] in self.marks and p[-2:-1].isalpha()}
-        words = set(bare.values()).difference(recent)
-        again = words.intersection(before)
-        recent.update((p, before[p]) for p in again)
-        recent.update(self._encode(list(words.difference(again).union(new.difference(bare))), lead))
-        recent.update((p, recent[w] + self.marks[p[-1]]) for p, w in bare.items())
-        return recent
-
-    def _lines(self, t: str) -> list[list[str]] | None:
-        """Lines of pieces, if all white space is single spaces and line feeds between other characters."""
-        if not t or "  " in t or "\n\n" in t or " \n" in t or "\n " in t or t[0] in " \n" or t[-1] in " \n" or self._OTHER.search(t):
-            return None
-        return [line.split(" ") for line in t.split("\n")]
-
-    def _pieces(self, texts: list[str]) -> tuple[list, dict[str, bytes], dict[str, bytes]]:
-        """Lines of pieces of each text, and the ids of pieces that begin a line and of the others."""
-        cut = [self._lines(t) or [self._CUT.split(t)] for t in texts]
-        heads, tails = set(), set()
-        for lines in cut:
-            for pieces in lines:
-                heads.add(pieces[0])
-                tails.update(pieces[1:])
-        return cut, self._known(self.heads, heads, ""), self._known(self.tails, tails, " ")
+    def pieces(self, column: pa.Array):
+        """(ids, start and size of the distinct pieces, which piece stands where, pieces of each text), a slice of texts at a time."""
+        if column.null_count:
+            column = column.fill_null("")
+        sizes = np.asarray(pc.binary_length(column)).astype(np.int64)
+        ends, row = np.cumsum(sizes), 0
+        while row < len(column):
+            before = int(ends[row - 1]) if row else 0
+            stop = max(row + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+            if len(self.words) > self.most or self.words.nbytes > CACHE_BYTES:
+                self._forget()
+            yield self._slice(column.slice(row, stop - row))
+            row = stop
+
+    def _slice(self, texts: pa.Array):
+        odd = np.asarray(pc.match_substring_regex(texts, self._ODD))
+        found = {}
+        if odd.any():
+            which = np.flatnonzero(odd)
+            found = {k: self._CUT.split(t) for k, t in zip(which.tolist(), texts.take(pa.array(which)).to_pylist())}
+            texts = pc.if_else(pa.array(~odd), texts, "")
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        offsets = np.asarray(lists.offsets).astype(np.int64)
+        distinct = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        offsets = offsets - offsets[0]
+        # a text's first piece has no space before it: as at the start of a line, without the line feed
+        heads = pa.array([*(["\n" + h for h in distinct.take(pa.array(offsets[:-1])).dictionary_decode().to_pylist()]), *("\n" + ps[0] for ps in found.values())], pa.string())
+        inner = pa.array([p for ps in found.values() for p in ps[1:]], pa.string())
+        parts = self._parts(pa.concat_arrays([distinct.dictionary.cast(pa.string()), heads, inner]))
+        base, n = len(distinct.dictionary), len(heads)
+        parts[base : base + n, 0] = 0
+        size = self.size[parts].sum(axis=1)
+        ids = self._gather(self.ids, self.start, self.size, parts.ravel())
+        start = np.cumsum(size) - size
+        where, counts = np.asarray(distinct.indices).astype(np.int64), np.diff(offsets)
+        where[offsets[:-1]] = base + np.arange(len(counts))
+        if found:
+            bits, at, head, inside = [], 0, base + len(counts), base + n
+            for k, ps in found.items():
+                bits += [where[at : offsets[k]], [head], np.arange(inside, inside + len(ps) - 1)]
+                at, counts[k], head, inside = offsets[k + 1], len(ps), head + 1, inside + len(ps) - 1
+            where = np.concatenate([*bits, where[at:]]).astype(np.int64)
+        return ids, start, size, where, counts
+
+    def count_column(self, column: pa.Array) -> np.ndarray:
+        """The number of ids of each text of a column."""
+        out = [np.add.reduceat(size[where], np.cumsum(counts) - counts) for _, _, size, where, counts in self.pieces(column)]
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+    def encode_column(self, column: pa.Array):
+        """(ids, number of ids of each text), a slice of texts at a time."""
+        for ids, start, size, where, counts in self.pieces(column):
+            yield self._gather(ids, start, size, where), np.add.reduceat(size[where], np.cumsum(counts) - counts)
 
     def count(self, texts: list[str]) -> list[int]:
-        """The number of ids of each text."""
-        cut, heads, tails = self._pieces(texts)
-        head, tail = heads.__getitem__, tails.__getitem__
-        return [sum(len(head(p[0])) + sum(map(len, map(tail, p[1:]))) for p in lines) // 4 + len(lines) - 1 for lines in cut]
+        return self.count_column(pa.array(texts, pa.string())).tolist()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut, heads, tails = self._pieces(texts)
-        head, tail, feed = heads.__getitem__, tails.__getitem__, self.line_feed
-        out = []
-        for lines in cut:
-            parts = []
-            for pieces in lines:
-                parts.append(head(pieces[0]))
-                parts.extend(map(tail, pieces[1:]))
-                parts.append(feed)
-            parts.pop()
-            out.append(b"".join(parts))
-        return out
+        return [x.astype("<u4").tobytes() for ids, sizes in self.encode_column(pa.array(texts, pa.string())) for x in np.split(ids, np.cumsum(sizes)[:-1])]
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -311,9 +401,11 @@ class Shard:
 
 
 def _filesystem(path: str):
+    """The store of a path and the path in it; Spark's names of stores as pyarrow knows them."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path)
+    scheme, mark, rest = path.partition("://")
+    return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + mark + rest)
 
 
 def _put(path: str, data: bytes) -> None:
@@ -331,22 +423,47 @@ def _get(path: str) -> bytes:
         return f.read()
 
 
+def _binary(ids: np.ndarray, sizes: np.ndarray, kind: str) -> pa.Array:
+    """Runs of ids as a binary column."""
+    offsets = np.concatenate(([0], np.cumsum(sizes))) * np.dtype(kind).itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets.astype("<i8").tobytes()), pa.py_buffer(ids.astype(kind).tobytes())]).cast(pa.binary())
+
+
+def _ended(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> np.ndarray:
+    """Ids with an end mark after each text's."""
+    return np.insert(ids, np.cumsum(sizes), end_id)
+
+
 def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id_col and n_tokens, the ids of its text and an end mark; a null text is empty."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_ROWS)
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches):
         enc = encoder(tokenizer)
         for batch in batches:
-            for start in range(0, len(batch), 256):
-                some = batch.slice(start, 256)
-                counts = [n + 1 for n in enc.count([t or "" for t in some.column(1).to_pylist()])]
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(counts, pa.int64())], names=[id_col, "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(enc.count_column(batch.column(1)) + 1)], names=[id_col, "n_tokens"])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long")
 
 
+def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id_col, n_tokens and ids (binary, little-endian u32), an end mark after them; a null text is empty."""
+    small_batches(docs.sparkSession, BATCH_ROWS)
+    kind = dict(docs.dtypes)[id_col]
+
+    def run(batches):
+        enc = encoder(tokenizer)
+        for batch in batches:
+            at = 0
+            for ids, sizes in enc.encode_column(batch.column(1)):
+                some = batch.column(0).slice(at, len(sizes))
+                at += len(sizes)
+                yield pa.RecordBatch.from_arrays([some, pa.array(sizes + 1), _binary(_ended(ids, sizes, end_id), sizes + 1, "<u4")], names=[id_col, "n_tokens", "ids"])
+
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids binary")
+
+
 MANIFEST = "part long, seq long, path string, n_docs long, n_tokens long, before long"
 
 
@@ -356,47 +473,64 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str =
     Columns: part, seq (the order of files), path, n_docs, n_tokens, start (ids
     of all files before).  Null texts are empty; rows with a null id come first;
     rows that repeat an id follow each other in the order of their texts'
-    hashes; other columns are not looked at; an empty table writes no file.  A
-    file is closed after the document that reaches shard_tokens, so what a task
-    holds is bounded by that and its longest text.  Names are new for each
-    attempt at a task and only files of attempts that succeeded are listed, so a
-    lost executor leaves no wrong file behind.
+    hashes; other columns are not looked at; an empty table writes no file.
+
+    Texts are encoded where they are read, and their ids (two bytes each for a
+    vocabulary of up to 65,536) are dealt to ranges of document ids.  A file is
+    closed after the document that reaches shard_tokens, so what a task holds is
+    bounded by that and its longest text.  Names are new for each attempt at a
+    task and only files of attempts that succeeded are listed, so a lost
+    executor leaves no wrong file behind.
     """
-    small_batches(docs.sparkSession)
     spark = docs.sparkSession
+    small_batches(spark, BATCH_ROWS)
     folder = folder or new_path(spark, "tokens")
-    end = np.array([end_id], dtype="<u4").tobytes()
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"), F.col(text_col).alias("text"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # bounds of the ranges: a number a partition
+    cuts = rows.agg(F.percentile_approx("id", [i / parts for i in range(1, parts)] or [1.0], max(10_000, 10 * parts))).first()[0]
+    bounds = np.array(cuts if parts > 1 and cuts else [], dtype=np.int64)
+
+    def encode(batches):
+        enc = encoder(tokenizer)
+        kind = "<u4" if enc.wide or end_id >> 16 else "<u2"
+        for batch in batches:
+            at, known = 0, batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            part = np.where(known, np.searchsorted(bounds, batch.column(0).fill_null(0).to_numpy()), 0)
+            for ids, sizes in enc.encode_column(batch.column(2)):
+                some = batch.slice(at, len(sizes))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part[at : at + len(sizes)], pa.int32()), some.column(0), some.column(1), pa.array(np.full(len(sizes), np.dtype(kind).itemsize), pa.int32()), _binary(_ended(ids, sizes, end_id), sizes + 1, kind)],
+                    names=["part", "id", "h", "width", "ids"],
+                )
+                at += len(sizes)
 
     def write(batches):
         from pyspark import TaskContext
 
-        part, enc = TaskContext.get().partitionId(), encoder(tokenizer)
+        part = TaskContext.get().partitionId()
         keys, held, size, seq, before = [], [], 0, 0, 0
 
         def close():
             nonlocal keys, held, size, seq, before
-            counts = np.array([len(h) // 4 for h in held], dtype="<u4")
             path = f"{folder}/{part:06d}-{seq:06d}-{uuid.uuid4().hex[:12]}.wave"
-            _put(path, pack(np.frombuffer(b"".join(held), dtype="<u4"), keys, counts))
+            _put(path, pack(np.concatenate(held), keys, np.array([len(h) for h in held], dtype="<u4")))
             row = [part, seq, path, len(keys), size, before]
             keys, held, size, seq, before = [], [], 0, seq + 1, before + size
             return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["part", "seq", "path", "n_docs", "n_tokens", "before"])
 
         for batch in batches:
-            for start in range(0, len(batch), 256):
-                some = batch.slice(start, 256)
-                for key, ids in zip(some.column(0).to_pylist(), enc.encode(some.column(1).to_pylist())):
-                    keys.append(key)
-                    held.append(ids + end)
-                    size += len(ids) // 4 + 1
-                    if size >= shard_tokens:
-                        yield close()
+            for key, width, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                keys.append(key)
+                held.append(np.frombuffer(ids.as_buffer(), f"<u{width}").copy())
+                size += len(held[-1])
+                if size >= shard_tokens:
+                    yield close()
         if keys:
             yield close()
 
-    files = materialize(rows.mapInArrow(write, MANIFEST), "manifest")
+    dealt = rows.mapInArrow(encode, "part int, id long, h long, width int, ids binary").repartitionById(parts, "part").sortWithinPartitions("id", "h")
+    files = materialize(dealt.select("id", "width", "ids").mapInArrow(write, MANIFEST), "manifest")
     # one row for each partition that wrote: as many as the shuffle has partitions
     totals = sorted((r["part"], r["n"]) for r in files.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
     starts, at = [], 0
