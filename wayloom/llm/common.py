@@ -1,4 +1,4 @@
-"""Shared pieces: tables, the cluster's shared folder, connected components."""
+"""Shared pieces: tables, the cluster's shared folder, joins with uneven groups, connected components."""
 
 from __future__ import annotations
 
@@ -8,8 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a table of a few longs a row is broadcast (some 64 MB in memory); beyond it joins shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Bytes (rows by the width that the caller states) up to which a table is broadcast; beyond it joins shuffle.
+BROADCAST_BYTES = 64 << 20
+#: Groups that hold more than this share of all rows are joined by broadcast: there are fewer of them than its inverse.
+HOT_SHARE = 1 / 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,29 +51,82 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def discard(df: DataFrame) -> None:
+def discard(*tables: DataFrame) -> None:
     """Delete what materialize wrote, once nothing reads it."""
-    if path := getattr(df, "_wayloom_path", None):
-        jvm = df.sparkSession.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path.rpartition("/")[0])
-        p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    for df in tables:
+        if path := getattr(df, "_wayloom_path", None):
+            sc = df.sparkSession.sparkContext
+            p = sc._jvm.org.apache.hadoop.fs.Path(path.rpartition("/")[0])
+            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+class Scratch:
+    """The tables of one run of an operator; ``result`` writes the last one and deletes the others."""
+
+    def __init__(self) -> None:
+        self.held: list[DataFrame] = []
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        self.held.append(materialize(df, name))
+        return self.held[-1]
+
+    def result(self, df: DataFrame, name: str) -> DataFrame:
+        out = materialize(df, name)
+        discard(*self.held)
+        self.held = []
+        return out
+
+
+def unused(columns: list[str], *wanted: str) -> list[str]:
+    """The wanted names, each with underscores before it until no column has it (Spark does not tell capitals)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def fits(rows: int, row_bytes: int = 64) -> bool:
+    """Whether so many rows of a stated width may be broadcast."""
+    return rows * row_bytes <= BROADCAST_BYTES
+
 
+def small(df: DataFrame, rows: int, row_bytes: int = 64) -> DataFrame:
+    """df with a broadcast hint if its counted rows, of a stated width, are within the bound; else as it is."""
+    return F.broadcast(df) if fits(rows, row_bytes) else df
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """df with a broadcast hint if its counted rows are within the bound, else as it is."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+def match_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int, how: str = "inner") -> DataFrame:
+    """rows joined with groups, a row for each key (both written tables), however uneven the groups are.
+
+    ``size`` is the column of groups with the number of rows of a key, ``total``
+    the number of all rows.  Groups of over HOT_SHARE of them are fewer than its
+    inverse, so those are broadcast, and none of their rows is shuffled; the
+    others are joined by key.  ``how`` is inner or left.
+    """
+    least = max(1000, int(total * HOT_SHARE))
+    hot = groups.where(F.col(size) > least)
+    if not hot.head(1):
+        return rows.join(groups, keys, how)
+    rest = groups.where(F.col(size) <= least)
+    others = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys, how)
+    return rows.join(F.broadcast(hot), keys).unionByName(others)
 
 
-def connected_components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, comp) of an undirected graph with edges (a, b); comp is the smallest node.
 
     Alternates large-star and small-star steps until no edge changes.  Each step
     is an aggregate and an equi-join, so no component is gathered in one place.
+    Steps only ever hang nodes on smaller ones, so they end; the number of
+    rounds grows with the logarithm of the longest path.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     now = materialize(e, "edges")
     state = _digest(now)
-    for _ in range(most_rounds):
+    while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(small(least, 2 * state[0]), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
@@ -88,8 +143,6 @@ def connected_components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
         if told == state:
             break
         state = told
-    else:
-        raise RuntimeError("connected components did not settle")
     return now.groupBy("u").agg(F.min("v").alias("comp")).withColumnRenamed("u", "node").unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()
     )
