@@ -26,8 +26,11 @@ def op2_assignment_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_variable_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = materialize(wavelet.token_counts(table(spark, sf_dir, "documents"), tokenizer_path()), "token_counts")
-    return packing.best_fit(counted, length=F.col("n_tokens"))
+    """The pieces of every document's token ids (byte_bpe_50k, an end mark) in packed sequences, and the crc32 of the sequence each is in."""
+    tokens = materialize(wavelet.token_ids(table(spark, sf_dir, "documents"), tokenizer_path()), "token_ids")
+    bins = packing.sequences(tokens)
+    laid = bins.select("bin_id", "capacity", F.crc32("input_ids").alias("bin_crc32"), F.explode("pieces").alias("p"))
+    return laid.select("p.*", "bin_id", "capacity", "bin_crc32")
 
 
 def op4_token_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -448,18 +448,23 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
 
 
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id_col, n_tokens and ids (binary, little-endian u32), an end mark after them; a null text is empty."""
+    """One row per input row: id_col, n_tokens and ids, an end mark after them; a null text is empty.
+
+    ids are little-endian unsigned integers of octet_length(ids) / n_tokens
+    bytes each: two if the vocabulary has up to 65,536 ids, else four.
+    """
     small_batches(docs.sparkSession, BATCH_ROWS)
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches):
         enc = encoder(tokenizer)
+        width = "<u4" if enc.wide or end_id >> 16 else "<u2"
         for batch in batches:
             at = 0
             for ids, sizes in enc.encode_column(batch.column(1)):
                 some = batch.column(0).slice(at, len(sizes))
                 at += len(sizes)
-                yield pa.RecordBatch.from_arrays([some, pa.array(sizes + 1), _binary(_ended(ids, sizes, end_id), sizes + 1, "<u4")], names=[id_col, "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([some, pa.array(sizes + 1), _binary(_ended(ids, sizes, end_id), sizes + 1, width)], names=[id_col, "n_tokens", "ids"])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids binary")
 
