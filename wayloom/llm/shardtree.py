@@ -5,8 +5,13 @@ from __future__ import annotations
 import dataclasses
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import discard, fits, materialize
+
+#: Shards that the tree was first laid out for.
+BASE = 8
 #: Rows of a shard that are numbered in one block, on average.
 BLOCK_ROWS = 16_384
 #: 2 ** 52: a draw takes 13 hexadecimal digits of an MD5.
@@ -27,25 +32,30 @@ class Node:
         return sum(c.weight for c in self.children) if self.children else self.own
 
 
-def topology(shards: int, base: int = 8, racks: int = 2, per_rack: int = 2, weights: dict[int, float] | None = None) -> Node:
+def topology(shards: int, base: int = BASE, racks: int = 2, per_rack: int = 2, weights: dict[int, float] | None = None) -> Node:
     """The first ``base`` shards in regions of racks * per_rack; each later one in a region of its own.
 
-    As a later shard is a new region, a key moves only if that region wins its
-    first draw, so growth takes keys only into the new shard.  Changing a weight
-    moves keys only into, or out of, the subtrees that hold it.
+    ``base`` is a fact of the deployment, the number of shards at first, and has
+    to stay the same when shards are added: with the same base, a key moves only
+    if the new region wins its first draw, so growth takes keys only into the
+    new shard.  Fewer shards than base are refused, as no such tree could grow
+    by that law.  Changing a weight moves keys only into, or out of, the
+    subtrees that hold it.  Regions of one shard keep the law for single shards;
+    the tree is flat for them, and their number adds a draw each.
     """
+    if not 1 <= base <= shards:
+        raise ValueError(f"a tree laid out for {base} shards can't have {shards}: give the number that there were at first as base")
     weights = weights or {}
     leaf = lambda s, path: Node(f"{path}/s{s}", shard=s, own=float(weights.get(s, 1.0)))
-    first = min(shards, base)
     regions = []
-    for r, start in enumerate(range(0, first, racks * per_rack)):
-        inside = range(start, min(first, start + racks * per_rack))
+    for r, start in enumerate(range(0, base, racks * per_rack)):
+        inside = range(start, min(base, start + racks * per_rack))
         kids = []
         for k, begin in enumerate(range(inside.start, inside.stop, per_rack)):
             path = f"r{r}/k{k}"
             kids.append(Node(path, tuple(leaf(s, path) for s in range(begin, min(inside.stop, begin + per_rack)))))
         regions.append(Node(f"r{r}", tuple(kids)))
-    for s in range(first, shards):
+    for s in range(base, shards):
         regions.append(Node(f"g{s}", (Node(f"g{s}/k0", (leaf(s, f"g{s}/k0"),)),)))
     return Node("root", tuple(regions))
 
@@ -70,37 +80,37 @@ def assign(key: Column, tree: Node) -> Column:
     return out
 
 
-def shard_rows(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", block_rows: int = BLOCK_ROWS, weights: dict[int, float] | None = None) -> DataFrame:
+def shard_rows(docs: DataFrame, shards: int = BASE, id_col: str = "doc_id", text_col: str = "text", block_rows: int = BLOCK_ROWS, weights: dict[int, float] | None = None, base: int = BASE) -> DataFrame:
     """One row per input row: id_col, size, text_crc32, law, shard, slot, grown_shard.
 
     The law is ``key``: the id and the number of shards decide the shard, so a
     shard's share of rows follows its weight and equal texts with different ids
     may part.  size is the UTF-8 bytes of the text (null: none) plus 1.  slot
-    numbers a shard's rows from 0 without gaps: rows fall into hash blocks whose
-    number follows the table's row count, each block is numbered on its own and
-    starts where the blocks before it end.  No block depends on texts, so a
-    group of copies of any size is spread.  A null id is a key of its own.  Rows
-    that repeat an id go to one shard and get different slots.  Other columns
-    are not looked at; an empty table gives an empty result.
+    numbers a shard's rows from 0 without gaps: rows fall at random into blocks
+    whose number follows the table's row count, each block is numbered on its
+    own and starts where the blocks before it end.  No block depends on ids or
+    texts, so neither copies nor rows that share an id, or have none, meet in
+    one.  A null id is a key of its own.  Rows that repeat an id go to one shard
+    and get different slots.  Other columns are not looked at; an empty table
+    gives an empty result.
     """
     key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     blocks = 1 + docs.count() // (shards * block_rows)
-    block = F.conv(F.substring(F.md5(F.concat(F.lit("block:"), key)), 1, 8), 16, 10).cast("long") % F.lit(blocks)
     rows = docs.select(
-        F.col(id_col),
+        F.col(id_col).alias("_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-        assign(key, topology(shards, weights=weights)).cast("int").alias("shard"),
-        assign(key, topology(shards + 1, weights=weights)).cast("int").alias("grown_shard"),
-        block.alias("_block"),
+        assign(key, topology(shards, base, weights=weights)).cast("int").alias("shard"),
+        assign(key, topology(shards + 1, base, weights=weights)).cast("int").alias("grown_shard"),
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).alias("_block"),
     )
-    from pyspark.sql import Window as W
-
+    rows = materialize(rows, "assigned")  # blocks are counted and numbered from the same rows
     counts = rows.groupBy("shard", "_block").agg(F.count(F.lit(1)).alias("_n"))
     start = counts.withColumn("_start", F.sum("_n").over(W.partitionBy("shard").orderBy("_block").rowsBetween(W.unboundedPreceding, -1))).drop("_n")
-    inside = F.row_number().over(W.partitionBy("shard", "_block").orderBy(id_col, "text_crc32", "size")) - 1
+    start = F.broadcast(start) if fits(shards * blocks) else start
+    inside = F.row_number().over(W.partitionBy("shard", "_block").orderBy("_id", "text_crc32", "size")) - 1
     return rows.withColumn("_in", inside).join(start, ["shard", "_block"]).select(
-        id_col, "size", "text_crc32", F.lit("key").alias("law"), "shard",
+        F.col("_id").alias(id_col), "size", "text_crc32", F.lit("key").alias("law"), "shard",
         (F.coalesce("_start", F.lit(0)) + F.col("_in")).cast("long").alias("slot"), "grown_shard",
     )
