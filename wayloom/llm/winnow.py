@@ -11,13 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small
+from .common import discard, materialize, small, unused
 
 SPAN = 13
 GRAM = 5
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Benchmark fingerprints up to which documents are first tested against the list of them all.
-FILTER_HASHES = 20_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -53,9 +51,19 @@ def _marked(hashes: Column, n: int) -> Column:
     return F.transform(hashes, lambda h: F.xxhash64(F.lit(n), h))
 
 
-def _winnowed(grams: str, window: int) -> Column:
-    least = _runs(grams, window, lambda hs: F.least(*hs) if len(hs) > 1 else hs[0])
-    return F.coalesce(F.array_distinct(least), F.array().cast("array<bigint>"))
+def _minima(array: str, window: int) -> Column:
+    """The least of all runs of ``window`` elements, from an array of the least of runs of ``_step(window)``."""
+    step = _step(window)
+    starts = sorted({min(i, window - step) for i in range(0, window, step)})
+    return F.when(
+        F.size(array) > window - step,
+        F.transform(F.sequence(F.lit(0), F.size(array) - 1 - (window - step)), lambda i: F.least(*[F.get(array, i + j) if j else F.get(array, i) for j in starts]) if len(starts) > 1 else F.get(array, i)),
+    )
+
+
+def _step(window: int) -> int:
+    """About the root: least of a run from the least of its parts, so fewer elements are fetched."""
+    return next(k for k in range(1, window + 1) if k * k >= window)
 
 
 def _hashed(rows: DataFrame, words: str = "words") -> DataFrame:
@@ -63,32 +71,35 @@ def _hashed(rows: DataFrame, words: str = "words") -> DataFrame:
     return rows.withColumn("_wh", F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def fingerprints(rows: DataFrame, words: str = "words", span: int = SPAN, gram: int = GRAM, short: tuple[int, ...] = (), among: list[int] | None = None) -> DataFrame:
-    """Adds ``fps``: the winnowed k-gram hashes, and all runs of each length in ``short``.
-
-    ``among`` are the only hashes of interest: a row none of whose k-grams is
-    among them has no winnowed one among them, and is not winnowed.
-    """
+def fingerprints(rows: DataFrame, words: str = "words", span: int = SPAN, gram: int = GRAM, short: tuple[int, ...] = ()) -> DataFrame:
+    """Adds ``fps``: the winnowed k-gram hashes, and all runs of each length in ``short``."""
+    window = span - gram + 1
+    none = F.array().cast("array<bigint>")
     out = _hashed(rows, words).withColumn("_grams", _grams("_wh", gram))
-    fps = _winnowed("_grams", span - gram + 1)
-    if among is not None:
-        fps = F.when(F.exists("_grams", lambda h: h.isin(among)), fps).otherwise(F.array().cast("array<bigint>"))
+    part = _runs("_grams", _step(window), lambda hs: F.least(*hs) if len(hs) > 1 else hs[0])
+    out = out.withColumn("_least", F.coalesce(part, none))
+    fps = F.coalesce(F.array_distinct(_minima("_least", window)), none)
     for n in short:
         fps = F.concat(fps, _marked(_grams("_wh", n), n))
-    return out.withColumn("fps", fps).drop("_grams", "_wh")
+    return out.withColumn("fps", fps).drop("_grams", "_least", "_wh")
 
 
-def _windows(rows: DataFrame, n: int, words: str = "words") -> DataFrame:
-    """Rows (other columns, pos, len, a, b) for all runs of n words; (a, b) hashes them to 128 bits.
+def _windows(rows: DataFrame, lengths: list[int], words: str = "words") -> DataFrame:
+    """Rows (other columns, pos, len, a, b) for all runs of each of the lengths, in one pass; (a, b) hashes a run to 128 bits.
 
     The outer generator keeps Spark from pushing a test of the generated array
     below the projection that makes the words, which would make them anew for
     each element.
     """
     keep = [c for c in rows.columns if c != words]
-    runs = _runs("_wh", n, lambda ws: F.struct(F.xxhash64(*ws).alias("a"), F.xxhash64(F.lit(n), *ws).alias("b")))
-    out = _hashed(rows.where(F.size(words) >= n), words).select(*keep, F.posexplode_outer(runs).alias("pos", "h"))
-    return out.select(*keep, "pos", F.lit(n).alias("len"), "h.a", "h.b")
+    none = F.array().cast("array<struct<pos:int,len:int,a:bigint,b:bigint>>")
+
+    def run(n: int) -> Column:
+        one = lambda i: F.struct(i.alias("pos"), F.lit(n).alias("len"), *[F.xxhash64(*lead, *[F.get("_wh", i + j) if j else F.get("_wh", i) for j in range(n)]).alias(x) for x, lead in (("a", ()), ("b", (F.lit(n),)))])
+        return F.coalesce(F.when(F.size("_wh") >= n, F.transform(F.sequence(F.lit(0), F.size("_wh") - n), one)), none)
+
+    out = _hashed(rows, words).select(*keep, F.explode_outer(F.concat(*[run(n) for n in lengths])).alias("h"))
+    return out.select(*keep, "h.*").where("pos is not null")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", span: int = SPAN, gram: int = GRAM, share: int = 20) -> DataFrame:
@@ -100,71 +111,41 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items are the ids, as strings, sorted, of items with occurring windows.
     Null texts have no words; items with a null id or text are left out.  Rows
     equal in id and text have equal results and are all returned.  An empty
-    benchmark hits nothing.  Other columns are not looked at.
+    benchmark hits nothing; an empty table gives an empty result.  Other columns
+    are not looked at.
 
-    The first pass makes rows of document fingerprints that stay in the scan's
-    stage while the benchmark's fingerprints pass the broadcast's size check;
-    what is shuffled is a row per document, and then the hits.
+    Every document is winnowed, however large the benchmark is, and its
+    fingerprints are joined with the benchmark's: in the scan's stage while
+    those pass the broadcast's size check, else by a shuffle of them.  Only
+    documents that share one are cut into windows.
     """
-    items = materialize(
-        benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("string").alias("item"), words_of(F.coalesce(F.col(item_text), F.lit(""))).alias("words")).where("size(words) > 0"),
-        "items",
-    )
+    named = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("string").alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
+    items = materialize(named.select("item", words_of(F.col("t")).alias("words")).where("size(words) > 0"), "items")
     lengths = sorted(r[0] for r in items.select(F.least(F.size("words"), F.lit(span))).distinct().collect())  # span numbers at most
     short = tuple(n for n in lengths if n < span)
 
-    loose = benchmark.where(F.col(item_col).isNotNull()).select(words_of(F.coalesce(F.col(item_text), F.lit("")), exact=False).alias("words"))
-    parts = [fingerprints(loose.where(F.size("words") >= span), span=span, gram=gram)]
-    parts += [fingerprints(loose.where(F.size("words") == n), span=span, gram=gram, short=(n,)) for n in short]
-    kept = parts[0]
-    for p in parts[1:]:
-        kept = kept.unionByName(p)
+    loose = named.select(words_of(F.col("t"), exact=False).alias("words"))
+    kept = fingerprints(loose.where(F.size("words") >= span), span=span, gram=gram)
+    for n in short:
+        kept = kept.unionByName(fingerprints(loose.where(F.size("words") == n), span=span, gram=gram, short=(n,)))
     kept = materialize(kept.select(F.explode_outer("fps").alias("fp")).where("fp is not null").distinct().withColumn("hit", F.lit(1)), "item_fingerprints")
-    n_kept = kept.count()
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     tokens = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_th"), words_of(text, exact=False).alias("words"))
-    among = None
-    if n_kept <= FILTER_HASHES:
-        among = [r[0] for r in kept.select("fp").collect()]  # of the benchmark, within the bound just checked
-    marks = fingerprints(tokens, span=span, gram=gram, short=short, among=among).select(
-        "_id", "_th", F.size("words").cast("long").alias("n_words"), F.posexplode_outer("fps").alias("_pos", "fp")
-    )
-    found = marks.join(small(kept, n_kept), "fp", "left")
+    marks = fingerprints(tokens, span=span, gram=gram, short=short).select("_id", "_th", F.size("words").cast("long").alias("n_words"), F.posexplode_outer("fps").alias("_pos", "fp"))
+    found = marks.join(small(kept, kept.count()), "fp", "left")
     per_doc = materialize(
         found.groupBy("_id", "_th", "n_words").agg(F.max("hit").alias("hit"), F.sum(F.when(F.coalesce("_pos", F.lit(0)) == 0, 1).otherwise(0)).alias("copies")),
         "per_document",
     )
-    suspects = per_doc.where("hit = 1").select("_id", "_th", F.lit(True).alias("_suspect"))
-    n_suspects = suspects.count()
-
-    exact = docs.select(F.col(id_col).alias("_id"), text.alias("_t")).withColumn("_th", F.xxhash64("_t"))
-    exact = exact.join(small(suspects, n_suspects), exact["_id"].eqNullSafe(suspects["_id"]) & (exact["_th"] == suspects["_th"]), "left_semi")
-    exact = exact.select("_id", "_th", words_of(F.col("_t")).alias("words"))
-    hits = None
-    for n in lengths:
-        of_items = items.where(F.size("words") >= span if n == span else F.size("words") == n)
-        windows = materialize(_windows(of_items, n).groupBy("a", "b").agg(F.collect_set("item").alias("items")), f"item_windows_{n}")
-        n_windows = windows.count()
-        got = _windows(exact, n).join(small(windows, n_windows), ["a", "b"]).select("_id", "_th", "pos", "len", "items")
-        hits = got if hits is None else hits.unionByName(got)
-    if hits is None:
-        return per_doc.select(F.col("_id"), "_th", "n_words", "copies").select(
-            *_final(F.col("_id"), id_col), F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"),
-            F.array().cast("array<string>").alias("items"), F.lit(False).alias("contaminated"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy"),
-        ).drop("_copy")
-    covered = (
-        hits.groupBy("_id", "_th")
-        .agg(F.array_distinct(F.flatten(F.collect_set("items"))).alias("_items"), F.collect_set(F.struct("pos", "len")).alias("_spans"))
-        .select(
-            F.col("_id").alias("_hid"), F.col("_th").alias("_hth"), F.array_sort("_items").alias("_items"),
-            F.size(F.array_distinct(F.flatten(F.transform("_spans", lambda s: F.sequence(s["pos"], s["pos"] + s["len"] - 1))))).alias("_hit"),
-        )
-    )
-    out = per_doc.join(covered, F.col("_id").eqNullSafe(F.col("_hid")) & (F.col("_th") == F.col("_hth")), "left")
+    out = per_doc.withColumn("_items", F.lit(None).cast("array<string>")).withColumn("_hit", F.lit(None).cast("int"))
+    if lengths:
+        covered = _covered(docs, per_doc.where("hit = 1").select("_id", "_th"), items, lengths, id_col, text)
+        out = per_doc.join(covered, F.col("_id").eqNullSafe(F.col("_hid")) & (F.col("_th") == F.col("_hth")), "left")
+    discard(items, kept)
     n_hit = F.coalesce("_hit", F.lit(0)).cast("long")
     return out.select(
-        *_final(F.col("_id"), id_col), n_hit.alias("n_hit"),
+        F.col("_id").alias(id_col), F.col("_th").alias("text_hash"), F.col("n_words"), n_hit.alias("n_hit"),
         F.coalesce(F.size("_items"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("_items", F.array().cast("array<string>")).alias("items"),
         ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"),
@@ -172,12 +153,33 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ).drop("_copy")
 
 
-def _final(key: Column, id_col: str) -> list[Column]:
-    return [key.alias(id_col), F.col("_th").alias("text_hash"), F.col("n_words")]
+def _covered(docs: DataFrame, suspects: DataFrame, items: DataFrame, lengths: list[int], id_col: str, text: Column) -> DataFrame:
+    """(_hid, _hth, _items, _hit), written, of the suspects with an occurring window."""
+    span = max(lengths)
+    cut = items.withColumn("_n", F.least(F.size("words"), F.lit(span)))
+    windows = materialize(_windows(cut, lengths).where("len = _n").select("a", "b", "item").distinct(), "item_windows")
+    distinct = materialize(windows.select("a", "b").distinct(), "windows")
+
+    exact = docs.select(F.col(id_col).alias("_id"), text.alias("_t")).withColumn("_th", F.xxhash64("_t"))
+    exact = exact.join(small(suspects, suspects.count()), exact["_id"].eqNullSafe(suspects["_id"]) & (exact["_th"] == suspects["_th"]), "left_semi")
+    exact = exact.select("_id", "_th", words_of(F.col("_t")).alias("words"))
+    hits = materialize(_windows(exact, lengths).join(small(distinct, distinct.count()), ["a", "b"]).select("_id", "_th", "pos", "len", "a", "b"), "hits")
+
+    spans = hits.groupBy("_id", "_th").agg(F.collect_set(F.struct("pos", "len")).alias("_spans"))
+    width = 64 + (windows.agg(F.max(F.octet_length("item"))).first()[0] or 0)
+    told = hits.select("_id", "_th", "a", "b").distinct().join(small(windows, windows.count(), width), ["a", "b"]).groupBy("_id", "_th").agg(F.collect_set("item").alias("_items"))
+    places = F.array_distinct(F.flatten(F.transform("_spans", lambda s: F.sequence(s["pos"], s["pos"] + s["len"] - 1))))
+    told = told.select(F.col("_id").alias("_iid"), F.col("_th").alias("_ith"), F.array_sort("_items").alias("_items"))
+    both = spans.join(told, F.col("_id").eqNullSafe(F.col("_iid")) & (F.col("_th") == F.col("_ith")))
+    out = materialize(both.select(F.col("_id").alias("_hid"), F.col("_th").alias("_hth"), "_items", F.size(places).alias("_hit")), "covered")
+    discard(windows, distinct, hits)
+    return out
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of docs that are not contaminated, all columns."""
-    bad = materialize(contamination(docs, benchmark, id_col, text_col, **kw).where("contaminated").select(F.col(id_col).alias("_bad"), F.col("text_hash").alias("_bth")).distinct(), "contaminated")
-    here = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    return here.join(small(bad, bad.count()), F.col(id_col).eqNullSafe(F.col("_bad")) & (F.col("_key") == F.col("_bth")), "left_anti").drop("_key")
+    """The rows of docs that are not contaminated, all columns, whatever their names."""
+    bad, told, key = unused(docs.columns, "_bad", "_told", "_key")
+    found = contamination(docs, benchmark, id_col, text_col, **kw).where("contaminated").select(F.col(id_col).alias(bad), F.col("text_hash").alias(told)).distinct()
+    found = materialize(found, "contaminated")
+    here = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    return here.join(small(found, found.count()), F.col(id_col).eqNullSafe(F.col(bad)) & (F.col(key) == F.col(told)), "left_anti").drop(key)
