@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, discard, materialize, small, small_batches
-from .textgrams import mix, shingle_sets
+from .common import Scratch, connected_components, discard, match_groups, materialize, small, small_batches, unused
+from .textgrams import shingle_sets
 
 #: Documents up to which a token counts as rare, and is an index entry by itself.
 RARE = 16
@@ -35,8 +35,8 @@ RARE = 16
 COMBINED = 2
 #: Frequent tokens in a prefix up to which all combinations are indexed; sets with more use single entries.
 MOST_COMBINED = 48
-#: Text bytes whose token prints make a bucket, on average.
-BUCKET_BYTES = 16 << 20
+#: Text bytes whose token prints make a bucket, on average; and tokens that are dealt to buckets at once.
+BUCKET_BYTES, DEAL_TOKENS = 16 << 20, 1 << 21
 #: Leaders of a group in one round, and rounds with leaders at most.
 LEADERS, ROUNDS = 8, 6
 
@@ -44,61 +44,87 @@ _U = np.uint64
 _PRINTS = "bucket int, kind int, src long, index binary, data binary"
 
 
-def _batches(batches, rows: int = 1024):
-    for batch in batches:
-        for start in range(0, len(batch), rows):
-            yield batch.slice(start, rows)
-
-
 def _column(batch, i: int):
     c = batch.column(i)
     return c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
 
 
 def _prints(width: int, buckets: int):
-    """Map: each document's token prints, dealt to buckets, and its size and set hash."""
+    """Map: each document's token prints, dealt to buckets, and its size and set hash.
 
-    def run(batches):
-        from pyspark import TaskContext
+    Documents are dealt DEAL_TOKENS tokens at a time.  A print that two of them
+    share is known to occur twice: it is counted here, and its bucket gets it
+    once, without documents.  So a print that a third of all documents has
+    reaches its bucket once a deal, not once a document.  A row is written for
+    each bucket that gets prints, so work is in proportion to tokens.
+    """
 
-        src = TaskContext.get().partitionId() << 24
-        for batch in _batches(batches):
-            ids, sets = _column(batch, 0).to_numpy(zero_copy_only=False).astype(np.int64), [s for _, s in shingle_sets(_column(batch, 1), width)]
-            sizes = np.array([len(s) for s in sets], dtype=np.uint32)
-            tokens = np.concatenate(sets) if sets else np.zeros(0, dtype=_U)
-            # the set hash: 128 bits that don't depend on order
-            cuts = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
-            sums = []
-            for x in (tokens, mix(tokens ^ _U(0xA0761D6478BD642F))):
-                total = np.concatenate((np.zeros(1, _U), np.cumsum(x, dtype=_U)))
-                sums.append(total[cuts[1:]] - total[cuts[:-1]])
-            meta = np.stack([ids.view(_U), sizes.astype(_U), *sums])
-            where = ((tokens >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int32)
-            order = np.argsort(where, kind="stable")
-            doc = np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)[order]
-            low = tokens[order].astype(np.uint32)
-            parts = np.searchsorted(where[order], np.arange(buckets + 1))
-            rows = [(src % buckets, 1, src, b"", meta.tobytes())]
-            for b in np.flatnonzero(np.diff(parts)).tolist():
-                some = doc[parts[b] : parts[b + 1]]
-                starts = np.flatnonzero(np.concatenate(([True], some[1:] != some[:-1])))
-                index = np.stack([some[starts], np.diff(np.append(starts, len(some))).astype(np.uint32)])
-                rows.append((b, 0, src, index.tobytes(), low[parts[b] : parts[b + 1]].tobytes()))
-            src += 1
+    def deal(src: int, ids: np.ndarray, sizes: np.ndarray, seconds: np.ndarray, tokens: np.ndarray):
+        cuts = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+        total = np.concatenate((np.zeros(1, _U), np.cumsum(tokens, dtype=_U)))  # the set hash does not depend on order
+        order = np.argsort(tokens)
+        same = tokens[order]
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(same)), bool), same[1:] != same[:-1])))
+        often = np.diff(np.append(first, len(same))) > 1
+        alone = np.zeros(len(tokens), dtype=bool)
+        alone[order[first[~often]]] = True
+        doc = np.repeat(np.arange(len(ids), dtype=np.uint32), sizes)
+        here = np.bincount(doc[~alone], minlength=len(ids))
+        meta = np.stack([ids.view(_U), sizes.astype(_U), total[cuts[1:]] - total[cuts[:-1]], seconds, here.astype(_U)])
+        rows = [(src % buckets, 1, src, b"", meta.tobytes())]
+        where = lambda x: ((x >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int32)
+        known = same[first[often]]
+        mine = where(known)
+        edges = np.flatnonzero(np.concatenate((np.ones(min(1, len(mine)), bool), mine[1:] != mine[:-1])))
+        for k, stop in zip(edges.tolist(), [*edges[1:].tolist(), len(mine)]):
+            rows.append((int(mine[k]), 2, src, b"", known[k:stop].astype(np.uint32).tobytes()))
+        single, doc = tokens[alone], doc[alone]
+        mine = where(single)
+        order = np.argsort(mine, kind="stable")
+        mine, doc, low = mine[order], doc[order], single[order].astype(np.uint32)
+        edges = np.flatnonzero(np.concatenate((np.ones(min(1, len(mine)), bool), mine[1:] != mine[:-1])))
+        for k, stop in zip(edges.tolist(), [*edges[1:].tolist(), len(mine)]):
+            some = doc[k:stop]
+            starts = np.flatnonzero(np.concatenate(([True], some[1:] != some[:-1])))
+            index = np.stack([some[starts], np.diff(np.append(starts, len(some))).astype(np.uint32)])
+            rows.append((int(mine[k]), 0, src, index.tobytes(), low[k:stop].tobytes()))
+        for k in range(0, len(rows), 256):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
+                [pa.array(c, t) for c, t in zip(zip(*rows[k : k + 256]), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
                 names=["bucket", "kind", "src", "index", "data"],
             )
 
+    def run(batches):
+        from pyspark import TaskContext
+
+        src, held, size = TaskContext.get().partitionId() << 24, [], 0
+
+        def flush():
+            nonlocal src, held, size
+            ids, sets, seconds = (np.array([h[0] for h in held], np.int64), [h[1] for h in held], np.array([h[2] for h in held], dtype=_U))
+            src, held, size = src + 1, [], 0
+            return deal(src - 1, ids, np.array([len(s) for s in sets], dtype=np.uint32), seconds, np.concatenate(sets))
+
+        for batch in batches:
+            ids = _column(batch, 0).to_pylist()
+            for i, s, total in shingle_sets(_column(batch, 1), width):
+                held.append((ids[i], s, total))
+                size += len(s)
+                if size >= DEAL_TOKENS:
+                    yield from flush()
+        if held:
+            yield from flush()
+
     return run
 
 
 def _again(group: pa.Table) -> pa.Table:
-    """Of a bucket: how many of each document's prints occur in another document too."""
+    """Of a bucket: how many of each document's prints occur in another deal's document too."""
     kind = group["kind"].to_numpy()
     src, index, data = group["src"].to_numpy(), group["index"].to_pylist(), group["data"].to_pylist()
-    mine = np.flatnonzero(kind == 0)
-    prints = np.sort(np.concatenate([np.frombuffer(data[i], np.uint32) for i in mine])) if len(mine) else np.zeros(0, np.uint32)
+    mine, known = np.flatnonzero(kind == 0), np.flatnonzero(kind == 2)
+    every = [np.frombuffer(data[i], np.uint32) for i in (*mine, *known, *known)]  # known ones count twice
+    prints = np.sort(np.concatenate(every)) if every else np.zeros(0, np.uint32)
     twice = np.unique(prints[1:][prints[1:] == prints[:-1]])
     quick = np.zeros(1 << 24, dtype=bool)
     quick[twice >> 8] = True
@@ -121,10 +147,10 @@ def _again(group: pa.Table) -> pa.Table:
 
 
 def _told(group: pa.Table) -> pa.Table:
-    """Of a batch: id, size, set hash and shared prints of each of its documents."""
+    """Of a deal: id, size, set hash and shared prints of each of its documents."""
     kind, data = group["kind"].to_pylist(), group["data"].to_pylist()
-    meta = np.frombuffer(data[kind.index(1)], _U).reshape(4, -1)
-    shared = np.zeros(meta.shape[1], dtype=np.int64)
+    meta = np.frombuffer(data[kind.index(1)], _U).reshape(5, -1)
+    shared = meta[4].astype(np.int64)
     for k, d in zip(kind, data):
         if k == 0:
             docs, found = np.frombuffer(d, np.uint32).reshape(2, -1)
@@ -159,16 +185,17 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * shared >= percent * (F.size("ha") + F.size("hb") - shared)).select("a", "b")
 
 
-def _entries(sets: DataFrame, percent: int) -> DataFrame:
+def _entries(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """The index: (key, single, rep, n, big) rows for prefix tokens and combinations."""
     tokens = sets.select("rep", F.explode("hs").alias("h"))
-    counts = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = tokens.join(counts, "h").groupBy("rep").agg(F.collect_list(F.struct("df", "h")).alias("ts"))
+    counts = scratch.table(tokens.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "counts")
+    total = sets.agg(F.sum(F.size("hs"))).first()[0] or 0
+    shared = match_groups(tokens, counts, ["h"], "df", total).groupBy("rep").agg(F.collect_list(F.struct("df", "h")).alias("ts"))
     rows = shared.join(sets.select("rep", F.size("hs").alias("n")), "rep")
     # tokens that occur once come first in the order, and can't be shared
     rows = rows.withColumn("take", F.col("n") - _needed("n", percent) + COMBINED - (F.col("n") - F.size("ts"))).where("take > 0 and n > 1")
     rows = rows.select("rep", "n", F.size("ts").alias("m"), F.slice(F.array_sort("ts"), 1, F.col("take")).alias("ts"))
-    rows = materialize(rows.withColumn("ts", F.transform("ts", lambda t, i: F.struct(t["df"].alias("df"), t["h"].alias("h"), (F.col("m") - i).cast("int").alias("rest")))), "prefixes")
+    rows = scratch.table(rows.withColumn("ts", F.transform("ts", lambda t, i: F.struct(t["df"].alias("df"), t["h"].alias("h"), (F.col("m") - i).cast("int").alias("rest")))), "prefixes")
     ordered = rows.select("rep", "n", (F.col("n") - F.col("m")).alias("own"), F.filter("ts", lambda t: t["df"] <= RARE).alias("rare"), F.filter("ts", lambda t: t["df"] > RARE).alias("often"))
     ordered = ordered.withColumn("big", F.size("often") > MOST_COMBINED)
     entry = lambda key, single, rest: F.struct(key.alias("key"), F.lit(single).alias("single"), rest.alias("rest"))
@@ -183,30 +210,33 @@ def _entries(sets: DataFrame, percent: int) -> DataFrame:
     entries = ordered.select("rep", "n", "own", "big", F.explode_outer(keys).alias("e")).where("e is not null").select("e.key", "e.single", "e.rest", "rep", "n", "own", "big")
     # single entries of frequent tokens only serve pairs with a set too big for combinations
     groups = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.max("big").alias("some_big"), F.max("single").alias("s"), F.min("n").alias("least"))
-    groups = groups.where("members > 1 and (some_big or not s)").select("key", "least")
+    groups = scratch.table(groups.where("members > 1 and (some_big or not s)").select("key", "least", "members"), "keys")
+    total = groups.agg(F.sum("members")).first()[0] or 0
     # what is left of a set from its entry on must do for the smallest set of the group
-    live = entries.join(groups, "key").where(_enough("rest", "n", "least", percent)).drop("least")
-    return materialize(live, "entries")
+    live = match_groups(entries, groups, ["key"], "members", total).where(_enough("rest", "n", "least", percent)).drop("least", "members")
+    return scratch.table(live, "entries")
 
 
-def _components(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _components(entries: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """(rep, comp) for the sets that link, found group by group."""
-    first = entries.groupBy("key").agg(F.min(F.struct("own", "n", "rep", "rest")).alias("l")).select("key", F.col("l.n").alias("ln"), F.col("l.rest").alias("lr"), F.col("l.rep").alias("l"))
+    size = entries.count()
+    first = entries.groupBy("key").agg(F.min(F.struct("own", "n", "rep", "rest")).alias("l"), F.count(F.lit(1)).alias("c"))
+    first = scratch.table(first.select("key", F.col("l.n").alias("ln"), F.col("l.rest").alias("lr"), F.col("l.rep").alias("l"), "c"), "leaders")
     allowed = lambda n, m, r, q: _sizes_allow(n, m, percent) & _enough(f"least({r}, {q})", n, m, percent)
-    pairs = entries.join(first, "key").where("rep <> l").where(allowed("n", "ln", "rest", "lr")).select(F.least("rep", "l").alias("a"), F.greatest("rep", "l").alias("b")).distinct()
-    links = materialize(_verified(materialize(pairs, "pairs"), sets, percent), "links")
+    pairs = match_groups(entries, first, ["key"], "c", size).where("rep <> l").where(allowed("n", "ln", "rest", "lr")).select(F.least("rep", "l").alias("a"), F.greatest("rep", "l").alias("b")).distinct()
+    links = scratch.table(_verified(scratch.table(pairs, "pairs"), sets, percent), "links")
     comps = materialize(connected_components(links), "components")
-    size, before = entries.count(), None
-    nodes = materialize(entries.select("rep", "n", "own").distinct(), "nodes")
+    before = None
+    nodes = scratch.table(entries.select("rep", "n", "own").distinct(), "nodes")
     for turn in range(ROUNDS + 1):
         known = entries.join(comps, entries["rep"] == comps["node"], "left").select("key", "single", "rest", "rep", "n", "big", F.coalesce("comp", "rep").alias("comp"))
         parts = known.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
         groups = parts.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("members"), F.sum(F.col("c") * F.col("c")).alias("squares")).where("members > top.c")
-        groups = materialize(groups.select("key", F.col("top.comp").alias("top"), ((F.col("members") * F.col("members") - F.col("squares")) / 2).cast("long").alias("crossing")), "groups")
+        groups = materialize(groups.select("key", "members", F.col("top.comp").alias("top"), ((F.col("members") * F.col("members") - F.col("squares")) / 2).cast("long").alias("crossing")), "groups")
         crossing = groups.agg(F.sum("crossing")).first()[0] or 0
         if not crossing:
             break
-        open_rows = known.join(groups, "key")
+        open_rows = match_groups(known, groups, ["key"], "members", size)
         # another round unless what is left is little, or the last one joined little of it
         last = crossing <= size // 2 or turn == ROUNDS or (before is not None and crossing > 0.7 * before)
         before = crossing
@@ -222,8 +252,8 @@ def _components(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out = open_rows.where("comp <> top").select("rep", "n", F.col("top").alias("comp")).distinct().join(leaders, "comp")
             out = out.select("rep", "n", F.explode("ls").alias("l"))
             pairs = out.where(_sizes_allow("n", "l.n", percent)).select(F.least("rep", "l.rep").alias("a"), F.greatest("rep", "l.rep").alias("b")).distinct()
-        pairs = materialize(pairs, "pairs")
-        new = materialize(_verified(pairs, sets, percent), "links")
+        pairs = scratch.table(pairs, "pairs")
+        new = scratch.table(_verified(pairs, sets, percent), "links")
         if new.head(1):
             old = comps
             ends = [comps.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in ("a", "b")]
@@ -252,55 +282,87 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n_equal is the number of rows with an equal set, linked whether the set
     links with a different one.  Ids are integers.  Rows with a null id take no
     part: they have no component.  Rows that repeat an id are one node of the
-    graph; other columns are not looked at; an empty table gives an empty result.
+    graph, with the links of all their texts; other columns are not looked at;
+    an empty table gives an empty result.
+
+    Words are hashed by XXH3.  Sets count as equal if their size and 128 bits
+    from two independent hashes of every shingle agree; shared shingles of two
+    sets are counted by 64 bits, which could only mislead if two different
+    shingles of one compared pair agree in them (1e-12 for two texts of 4,000 words).
     """
     small_batches(docs.sparkSession)
+    scratch = Scratch()
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // BUCKET_BYTES))
     prints = rows.mapInArrow(_prints(width, buckets), _PRINTS)
     again = prints.groupBy("bucket").applyInArrow(_again, "kind int, src long, data binary")
-    told = materialize(again.groupBy("src").applyInArrow(_told, "id long, n long, a long, b long, shared long"), "told")
+    told = scratch.table(again.groupBy("src").applyInArrow(_told, "id long, n long, a long, b long, shared long"), "told")
 
+    # classes of equal sets, numbered; the row with the smallest id stands for each
     full = told.where("n > 0")
-    classes = materialize(full.groupBy("n", "a", "b").agg(F.min("id").alias("rep"), F.max("shared").alias("shared"), F.count(F.lit(1)).alias("copies")), "classes")
+    classes = full.groupBy("n", "a", "b").agg(F.min("id").alias("least"), F.max("shared").alias("shared"), F.count(F.lit(1)).alias("copies"))
+    classes = scratch.table(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     # a class of copies shares every print, one set without partners fewer than it needs
-    members = classes.where((F.col("n") > 1) & (F.col("shared") >= _needed("n", percent))).select("rep", "n", "a", "b")
-    chosen = members.select(F.col("rep").alias("id"))
-    reps = rows.join(small(chosen, chosen.count()), "id", "left_semi")
+    members = scratch.table(classes.where((F.col("n") > 1) & (F.col("shared") >= _needed("n", percent))).select("rep", "n", "a", "b", F.col("least").alias("id")), "members")
+    n_members = members.count()
+    reps = rows.join(small(members.select("id").distinct(), n_members), "id", "left_semi")
 
     def sets_of(batches):
-        for batch in _batches(batches):
+        for batch in batches:
             ids = _column(batch, 0).to_pylist()
-            found = [s for _, s in shingle_sets(_column(batch, 1), width)]
-            a, b = [], []
-            for s in found:
-                a.append(int(s.sum(dtype=_U).view(np.int64)) if len(s) else 0)
-                b.append(int(mix(s ^ _U(0xA0761D6478BD642F)).sum(dtype=_U).view(np.int64)) if len(s) else 0)
-            cuts = np.concatenate(([0], np.cumsum([len(s) for s in found]))).astype(np.int32)
-            flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-            hs = pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), hs], names=["rep", "a", "b", "hs"])
-
-    sets = reps.mapInArrow(sets_of, "rep long, a long, b long, hs array<long>")
+            found = [(s, total) for _, s, total in shingle_sets(_column(batch, 1), width)]
+            for start in range(0, len(found), 256):
+                some = found[start : start + 256]
+                cuts = np.concatenate(([0], np.cumsum([len(s) for s, _ in some]))).astype(np.int32)
+                hs = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate([s for s, _ in some]).view(np.int64)))
+                a = np.array([s.sum(dtype=_U) for s, _ in some], dtype=_U).view(np.int64)
+                b = np.array([total for _, total in some], dtype=_U).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[start : start + 256], pa.int64()), pa.array(a), pa.array(b), hs], names=["id", "a", "b", "hs"])
+
+    sets = reps.mapInArrow(sets_of, "id long, a long, b long, hs array<long>")
     # rows that repeat an id may have other texts: the class's own set is the one meant
-    sets = materialize(sets.join(small(members.select("rep", "a", "b"), chosen.count()), ["rep", "a", "b"], "left_semi").select("rep", "hs").dropDuplicates(["rep"]), "sets")
-
-    comps = _components(_entries(sets, percent), sets, percent)
-    named = classes.select("n", "a", "b", "rep", "copies").join(comps, F.col("rep") == F.col("node"), "left")
-    named = named.select("n", "a", "b", F.coalesce("comp", "rep").alias("component_id"), F.col("copies").alias("n_equal"), F.col("comp").isNotNull().alias("linked"))
-    found = told.join(named, ["n", "a", "b"], "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"),
-        F.coalesce("n_equal", F.lit(1)).cast("long").alias("n_equal"), F.coalesce("linked", F.lit(False)).alias("linked"),
+    sets = sets.join(small(members.select("rep", "id", "a", "b"), n_members), ["id", "a", "b"]).select("rep", "hs").dropDuplicates(["rep"])
+    sets = scratch.table(sets, "sets")
+
+    comps = _components(_entries(sets, percent, scratch), sets, percent, scratch)
+    named = match_groups(full.select("id", "n", "a", "b"), classes.select("n", "a", "b", "rep", "copies"), ["n", "a", "b"], "copies", told.count())
+    named = scratch.table(named.select("id", "n", "rep", "copies"), "named")
+    # classes of rows that share an id belong together
+    shared = named.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a <> last")
+    same_id = scratch.table(named.join(shared, "id").select("a", F.col("rep").alias("b")).where("a <> b").distinct(), "same_id")
+    whole = comps
+    if same_id.head(1):
+        whole = materialize(connected_components(same_id.unionByName(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")))), "components")
+    least = classes.select("rep", "least").join(whole, F.col("rep") == F.col("node")).groupBy("comp").agg(F.min("least").alias("component_id"))
+    of_class = whole.join(least, "comp").select(F.col("node").alias("rep"), "component_id")
+    of_class = classes.select("rep", "copies", "least").join(of_class, "rep", "left").join(comps.select(F.col("node").alias("rep"), F.lit(True).alias("linked")).distinct(), "rep", "left")
+    of_class = scratch.table(of_class.select("rep", "copies", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("linked", F.lit(False)).alias("linked")), "class_components")
+    found = match_groups(named.drop("copies"), of_class, ["rep"], "copies", told.count()).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("copies").alias("n_equal"), "linked",
     )
+    empty = told.where("n = 0").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(1).cast("long").alias("n_equal"), F.lit(False).alias("linked"))
+    out = scratch.result(found.unionByName(empty), "near_duplicates")
+    discard(comps, whole)
     nameless = docs.where(F.col(id_col).isNull()).select(
         F.lit(None).cast("long").alias(id_col), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(1).cast("long").alias("n_equal"), F.lit(False).alias("linked")
     )
-    return found.unionByName(nameless)
+    return out.unionByName(nameless)
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of docs that stay, all columns: of each component the one with the smallest id; rows with a null id stay."""
-    gone = materialize(near_duplicates(docs, id_col, text_col, **kw).where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct(), "gone")
-    return docs.join(small(gone, gone.count()), F.col(id_col) == F.col("_gone"), "left_anti")
+    """The rows of docs that stay, all columns, whatever their names: of each component one with the smallest id; rows with a null id stay.
+
+    Of rows that repeat that id, one stays.
+    """
+    (lost,) = unused(docs.columns, "_gone")
+    found = near_duplicates(docs, id_col, text_col, **kw)
+    gone = materialize(found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(lost)).distinct(), "gone")
+    left = docs.join(small(gone, gone.count()), F.col(id_col) == F.col(lost), "left_anti")
+    again = materialize(found.where(F.col(id_col).isNotNull() & (F.col(id_col) == F.col("component_id"))).groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias(lost)), "repeated")
+    if n := again.count():
+        here = F.col(id_col) == F.col(lost)
+        once = left.join(small(again, n), here, "left_semi").dropDuplicates([id_col])
+        left = left.join(small(again, n), here, "left_anti").unionByName(once)
+    return left

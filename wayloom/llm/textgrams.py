@@ -4,43 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from xxhash import xxh3_128_digest
 
 #: Bytes of text that are hashed at once.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 4 << 20
 _U = np.uint64
 
 
-_tables: list[np.ndarray] = []
-
-
-def _bytes() -> list[np.ndarray]:
-    """A random number for each byte, A-Z as a-z, and which bytes are white space."""
-    if _tables:
-        return _tables
-    value = np.random.Generator(np.random.PCG64(20240607)).integers(1, 2**64 - 1, 256, dtype=_U)
-    value[65:91] = value[97:123]
-    space = np.zeros(256, dtype=bool)
-    space[[9, 10, 11, 12, 13, 32]] = True
-    _tables[:] = [value, space]
-    return _tables
-
-
-_BASE = 0x9E3779B97F4A7C15 | 1
-_powers: list[np.ndarray] = []
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse, modulo 2**64."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
-        _powers[:] = []
-        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(size, b, dtype=_U)
-            p[0] = 1
-            _powers.append(np.cumprod(p))
-    return _powers[0][:n], _powers[1][:n]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer of splitmix64."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
@@ -64,49 +35,59 @@ def text_slices(column: pa.Array):
         row = stop
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (runs without white space, A-Z as a-z) and the number of words of each row."""
-    value, space = _bytes()
-    n = len(data)
-    if not n:
-        return np.zeros(0, dtype=_U), np.zeros(len(offsets) - 1, dtype=np.int64)
-    word = ~space[data]
-    edge = np.zeros(n + 1, dtype=bool)
-    edge[offsets] = True  # words end with their row
-    before = np.empty(n, dtype=bool)
-    before[0], before[1:] = False, word[:-1]
-    starts = np.flatnonzero(word & (~before | edge[:n]))
-    after = np.empty(n, dtype=bool)
-    after[-1], after[:-1] = False, word[1:]
-    ends = np.flatnonzero(word & (~after | edge[1:])) + 1
-    up, down = _power(n)
-    total = np.empty(n + 1, dtype=_U)
-    total[0] = 0
-    np.cumsum(value[data] * up, out=total[1:])
-    found = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U) * _U(0xD1B54A32D192ED03))
-    return found, np.diff(np.searchsorted(starts, offsets))
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of all words (runs without ASCII white space, A-Z as a-z), and the number of words of each row.
+
+    Arrow cuts the texts and finds the distinct words; each is hashed once, by
+    the two halves of XXH3's 128 bits.
+    """
+    texts = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(data)])
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+    words, ends = lists.values, np.asarray(lists.offsets)
+    told = words.dictionary_encode()
+    both = b"".join(map(xxh3_128_digest, told.dictionary.cast(pa.large_binary()).to_pylist()))
+    hashes = np.frombuffer(both, _U).reshape(-1, 2)
+    # the split leaves an empty word before white space that begins a text, and after such that ends it
+    real = np.asarray(pc.binary_length(words)) > 0
+    at = np.asarray(told.indices)[real]
+    counts = np.diff(np.concatenate(([0], np.cumsum(real)))[ends])
+    return hashes[at, 0], hashes[at, 1], counts
+
+
+def _multipliers(width: int, seed: int) -> np.ndarray:
+    return np.random.Generator(np.random.PCG64(seed)).integers(1, 2**63, width, dtype=_U) * _U(2) + _U(1)
+
+
+def _runs(words: np.ndarray, width: int, odd: np.ndarray) -> np.ndarray:
+    """Hashes of all runs of width words."""
+    out = np.zeros(max(len(words) - width + 1, 0), dtype=_U)
+    for j in range(width):
+        out += words[j : j + len(out)] * odd[j]
+    return mix(out)
 
 
 def shingle_sets(column: pa.Array, width: int):
-    """(row, sorted distinct hashes of its runs of width words) for each row of a text column.
+    """(row, sorted distinct hashes of its runs of width words, sum of their second hashes) for each row of a text column.
 
     A row with fewer words, but not none, has its whole sequence as one shingle.
+    The sum is of the distinct runs' second hashes, which come from other halves
+    of the words' hashes, so it tells sets apart whose first hashes agree.
     """
-    odd = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, width, dtype=_U) * _U(2) + _U(1)
+    odd, even = _multipliers(width, 7), _multipliers(width, 8)
     for first, data, offsets in text_slices(column):
-        words, counts = word_hashes(data, offsets)
-        runs = np.zeros(max(len(words) - width + 1, 0), dtype=_U)
-        for j in range(width):
-            runs += words[j : j + len(runs)] * odd[j]
-        runs = mix(runs)
+        words, others, counts = word_hashes(data, offsets)
+        runs, seconds = _runs(words, width, odd), _runs(others, width, even)
         at = 0
         for k, n in enumerate(counts.tolist()):
             if n >= width:
-                s = np.sort(runs[at : at + n - width + 1])
-                s = s[np.concatenate(([True], s[1:] != s[:-1]))] if len(s) > 1 else s
+                mine = slice(at, at + n - width + 1)
+                s, where = np.unique(runs[mine], return_index=True)
+                total = int(seconds[mine][where].sum(dtype=_U))
             elif n:
-                s = mix(np.array([sum(int(w) * int(o) for w, o in zip(words[at : at + n], odd)) + n & (1 << 64) - 1], dtype=_U) ^ _U(0x5851F42D4C957F2D))
+                short = [_U(sum(int(w) * int(o) for w, o in zip(x[at : at + n], m)) + n & (1 << 64) - 1) for x, m in ((words, odd), (others, even))]
+                pair = mix(np.array(short, dtype=_U) ^ _U(0x5851F42D4C957F2D))
+                s, total = pair[:1], int(pair[1])
             else:
-                s = runs[:0]
-            yield first + k, s
+                s, total = runs[:0], 0
+            yield first + k, s, total
             at += n
