@@ -9,6 +9,7 @@ best labelling in which no kept node lies in a dropped one.
 
 from __future__ import annotations
 
+import functools
 import html
 import math
 import random
@@ -24,15 +25,16 @@ from .common import small_batches
 
 # HTML's element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template svg math iframe object textarea select title head canvas video audio".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+RAW = frozenset("script style template iframe textarea select title head canvas video audio".split())
+FOREIGN = frozenset("math svg".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark noscript object q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 #: Attribute tokens by what they tell; the trees learn how much.
 TOKENS = {
-    "content": "article articlebody content entry story post main body text prose markdown richtext page paragraph copy".split(),
+    "content": "article articlebody content entry story post main body text prose markdown richtext paragraph copy".split(),
     "menu": "nav navbar navigation menu breadcrumb breadcrumbs toc pagination pager tabs skip topbar toolbar".split(),
     "edge": "header footer foot masthead banner head copyright legal colophon site".split(),
     "aside": "sidebar side aside rail widget related recommended popular trending recent tags tagcloud teaser more archive author bio".split(),
@@ -45,16 +47,16 @@ _CLASS = {t: k for k, ts in TOKENS.items() for t in ts}
 TAGS = ("p", "div", "section", "li", "td", "blockquote", "pre", "article", "main", "nav", "header", "footer", "aside", "form", "button", "ul", "figcaption")
 _GROUPS = tuple(TOKENS)
 FEATURES = (
-    ["own", "words", "subtree", "density", "links", "subtree_links", "depth", "index", "siblings", "like_me", "beside", "stops", "commas", "page_share", "place", "heading"]
+    ["own", "words", "subtree", "density", "links", "subtree_links", "depth", "index", "siblings", "like_me", "beside", "stops", "commas", "page_share", "place", "heading", "up_share", "up_kin", "up_index"]
     + [f"tag_{t}" for t in TAGS] + [f"has_{g}" for g in _GROUPS] + [f"in_{g}" for g in _GROUPS]
-    + ["in_article", "in_main", "in_nav", "in_header", "in_footer", "in_aside", "in_form", "page_has_article"]
+    + ["in_article", "in_main", "in_nav", "in_header", "in_footer", "in_aside", "in_form", "in_blockquote", "in_section", "in_ul", "page_has_article"]
 )
-_INSIDE = ("article", "main", "nav", "header", "footer", "aside", "form")
+_INSIDE = ("article", "main", "nav", "header", "footer", "aside", "form", "blockquote", "section", "ul")
 
 _TAG = re.compile(r"""<(?:!--(?:.*?)(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z))""", re.S)
 _ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _TOLD = frozenset("class id role itemprop aria-label".split())
-_SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+_SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z0-9])(?=[A-Z])")
 
 
 class Node:
@@ -90,11 +92,12 @@ def _tokens(attributes: str) -> tuple[tuple, bool]:
 def parse(page: str) -> tuple[list[Node], int]:
     """All block nodes in page order, the root first, and the number of text blocks.
 
-    Inline elements add to the block they are in.  Scripts, styles and other
+    Inline elements, and all inside formulas and drawings, add to the block they
+    are in.  Scripts, styles, what stands in for unplayable media, and other
     elements without readable text are skipped whole, comments and markup too.
     """
     root = Node("html", None)
-    nodes, now, at, block, in_link = [root], root, 0, 0, 0
+    nodes, now, at, block, in_link, foreign = [root], root, 0, 0, 0, 0
 
     def add(raw: str) -> None:
         if raw and not raw.isspace():
@@ -112,6 +115,12 @@ def parse(page: str) -> tuple[list[Node], int]:
         tag = m[2].lower() if m[2] else ""
         if not tag:
             continue
+        if tag in FOREIGN:
+            foreign = max(0, foreign - 1) if m[1] else foreign + (not m[3].rstrip().endswith("/"))
+            continue
+        if foreign and tag not in RAW and tag not in CLOSES_P:  # an element of the page ends a formula that was never ended
+            continue
+        foreign = foreign if tag in RAW else 0
         if m[1]:  # an end tag
             if tag == "a":
                 in_link = max(0, in_link - 1)
@@ -140,7 +149,7 @@ def parse(page: str) -> tuple[list[Node], int]:
             if m[3].rstrip().endswith("/") and tag != "script":
                 continue
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            if end is None and tag in ("head", "title", "noscript", "object", "select", "svg", "math", "video", "audio", "canvas", "iframe", "template"):
+            if end is None and tag in ("head", "title", "select", "video", "audio", "canvas", "iframe", "template"):
                 continue
             at = end.end() if end else len(page)
             continue
@@ -183,7 +192,8 @@ def features(nodes: list[Node]) -> np.ndarray:
     inside: list[frozenset] = [frozenset()] * n
     alike: list[Counter | None] = [None] * n  # tags of a node's children, counted once
     has_article = any(x.tag in ("article", "main") for x in nodes)
-    base, tag_at = 16, {t: 16 + i for i, t in enumerate(TAGS)}
+    base = FEATURES.index(f"tag_{TAGS[0]}")
+    tag_at = {t: base + i for i, t in enumerate(TAGS)}
     g_at = {g: base + len(TAGS) + i for i, g in enumerate(_GROUPS)}
     in_at = {g: base + len(TAGS) + len(_GROUPS) + i for i, g in enumerate(_GROUPS)}
     e_at = {g: base + len(TAGS) + 2 * len(_GROUPS) + i for i, g in enumerate(_INSIDE)}
@@ -207,10 +217,11 @@ def features(nodes: list[Node]) -> np.ndarray:
             kin, like, beside = [x], 1, 0
         text = "".join(p for _, p in x.parts) if x.own else ""
         row = out[i]
-        row[:16] = (
+        row[:base] = (
             math.log1p(x.own), math.log1p(text.count(" ")), math.log1p(subtree[i]), math.log1p(subtree[i] / tags[i]), x.links / x.own if x.own else 0.0,
             links[i] / subtree[i] if subtree[i] else 0.0, x.depth, x.index, len(kin), like, math.log1p(beside), text.count("."), text.count(","),
             subtree[i] / total, seen / total, x.tag in HEADINGS,
+            subtree[at] / total if up is not None else 0, len(up.parent.children) if up is not None and up.parent is not None else 0, up.index if up is not None else 0,
         )
         seen += x.own
         if x.tag in tag_at:
@@ -229,7 +240,7 @@ def features(nodes: list[Node]) -> np.ndarray:
 class Trees:
     """Gradient-boosted regression trees for the logistic loss, all of one depth."""
 
-    def __init__(self, depth: int = 4, rounds: int = 50, rate: float = 0.25, bins: int = 24):
+    def __init__(self, depth: int = 5, rounds: int = 60, rate: float = 0.25, bins: int = 24):
         self.depth, self.rounds, self.rate, self.bins = depth, rounds, rate, bins
         self.split: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.base = 0.0
@@ -291,11 +302,22 @@ def _skeleton(r: random.Random) -> str:
                 out[i] += r.choice((".", ",", ".", ";"))
         return " ".join(out).capitalize() + r.choice((".", ".", ""))
 
-    def attr(group: str, often: float = 0.8) -> str:
+    def unknown() -> str:
+        """A class name that tells nothing."""
+        return r.choice(("col-md-8", "mt-4", "row", "u-flex", "clearfix", "wp-block", "x9", "inner")) if r.random() < 0.5 else "".join(r.choice("bcdfgklmnprstvxz") + r.choice("aeiou0123456789") for _ in range(r.randint(2, 4)))
+
+    def attr(group: str, often: float = 0.8, plain: float = 0.0) -> str:
+        """Attributes of an element of a group, in one of the usual spellings; ``plain`` of them tell nothing."""
+        if r.random() < plain:
+            return f' class="{unknown()}"' if r.random() < 0.8 else ""
         if r.random() > often:
-            return ""
+            return f' class="{unknown()}"' if r.random() < 0.2 else ""
         name = r.choice(TOKENS[group])
-        return f' {r.choice(("class", "id", "class"))}="{r.choice(("", "site-", "x-", "main-" if group == "content" else "c-"))}{name}"'
+        lead = r.choice(("", "site-", "x-", "main-" if group == "content" else "c-", "js-", "my_"))
+        name = r.choice((lead + name, lead + name, lead + name, (lead + name).upper(), lead + name.capitalize(), name.capitalize()))
+        more = [name, *(unknown() for _ in range(r.choice((0, 0, 1, 2))))]
+        r.shuffle(more)
+        return f' {r.choice(("class", "id", "class"))}="{" ".join(more)}"'
 
     def links(k: int) -> str:
         return "".join(f'<li data-t=0><a href="/{i}">{words(1, 4)}</a></li>' for i in range(k))
@@ -305,7 +327,7 @@ def _skeleton(r: random.Random) -> str:
         if kind == "form":
             return f"<form data-t=0>{words(1, 6)}<button data-t=0>{words(1, 2)}</button></form>"
         if kind == "menu":
-            return f"<nav data-t=0{attr('menu', 0.4)}><ul data-t=0>{links(r.randint(2, 9))}</ul></nav>" if r.random() < 0.6 else f"<div data-t=0{attr('menu', 1)}><ul data-t=0>{links(r.randint(2, 9))}</ul></div>"
+            return f"<nav data-t=0{attr('menu', 0.4)}><ul data-t=0>{links(r.randint(2, 9))}</ul></nav>" if r.random() < 0.6 else f"<div data-t=0{attr('menu', 1, 0.3)}><ul data-t=0>{links(r.randint(2, 9))}</ul></div>"
         if kind == "aside":
             tag = r.choice(("aside", "div"))
             inner = f"<ul data-t=0>{links(r.randint(2, 6))}</ul>" if r.random() < 0.6 else f"<p data-t=0>{words(5, 60)}</p>"
@@ -329,7 +351,8 @@ def _skeleton(r: random.Random) -> str:
             return f"<pre data-t=1>{words(4, 40)}</pre>"
         return f"<div data-t=1>{words(5, 80)}</div>"
 
-    body = "".join(para() + (junk() if r.random() < 0.05 else "") for _ in range(r.choice((0, 1, 2, 4, 8, 14))))
+    count = r.choice((0, 1, 2, 4, 8, 14))
+    body = "".join(para() + (junk() if r.random() < 0.08 else "") for _ in range(count))
     title = f"<h1 data-t=1>{words(2, 12)}</h1>"
     shape = r.random()
     if shape < 0.5:
@@ -337,19 +360,20 @@ def _skeleton(r: random.Random) -> str:
     elif shape < 0.65:
         article = f"<main data-t=1>{title}{body}</main>"
     else:
-        article = f"<div data-t=1{attr('content', 1)}>{title}{body}</div>"
+        article = f"<div data-t=1{attr('content', 1, 0.3 if count > 2 else 0)}>{title}{body}</div>"
     head = f"<header data-t=0{attr('edge', 0.3)}><div data-t=0>{words(1, 8)}</div></header>" if r.random() < 0.5 else f"<div data-t=0{attr('edge', 1)}>{words(1, 8)}</div>" if r.random() < 0.5 else ""
-    menu = f"<nav data-t=0{attr('menu', 0.3)}><ul data-t=0>{links(r.randint(3, 12))}</ul></nav>" if r.random() < 0.7 else f"<div data-t=0{attr('menu', 1)}>{links(r.randint(3, 9))}</div>"
+    menu = f"<nav data-t=0{attr('menu', 0.3)}><ul data-t=0>{links(r.randint(3, 12))}</ul></nav>" if r.random() < 0.7 else f"<div data-t=0{attr('menu', 1, 0.2)}>{links(r.randint(3, 9))}</div>"
     foot = f"<footer data-t=0{attr('edge', 0.3)}>&copy; {words(1, 30)}</footer>" if r.random() < 0.75 else f"<div data-t=0{attr('edge', 1)}><p data-t=0>{words(2, 30)}</p></div>"
     before, after = "".join(junk() for _ in range(r.randint(0, 2))), "".join(junk() for _ in range(r.randint(0, 3)))
     inside = head + menu + before + article + after + foot
-    return f'<div id="{r.choice(("wrapper", "page", "root", "container"))}">{inside}</div>' if r.random() < 0.4 else inside
+    return f'<div id="{r.choice(("wrapper", "page", "root", "container", "app", "Page"))}">{inside}</div>' if r.random() < 0.4 else inside
 
 
 _MARK = re.compile(r"""<([a-z0-9]+) data-t=([01])""")
 
 
-def fit(pages: int = 500, seed: int = 5) -> Trees:
+@functools.cache
+def fit(pages: int = 1000, seed: int = 5) -> Trees:
     """Trees fitted to generated pages; the same for the same arguments."""
     r, xs, ys = random.Random(seed), [], []
     for _ in range(pages):
@@ -382,7 +406,7 @@ def decode(nodes: list[Node], scores: np.ndarray) -> list[bool]:
     out = [True] * len(nodes)  # the root of all may hold kept and dropped parts
     for i, x in enumerate(nodes[1:], 1):
         out[i] = out[place[id(x.parent)]] and keep[i] > drop[i]
-    out[0] = s[0] > 0
+    out[0] = s[0] > 0 or len(nodes) == 1  # a page of mere text has nothing to part it from
     return out
 
 
@@ -413,8 +437,8 @@ def main_texts(pages: list[str], model: Trees) -> list[str]:
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = ("url",), model: Trees | None = None) -> DataFrame:
     """One row per page: id_col, the columns in keep, text and n_chars (its code points).
 
-    Null, empty or markup-less pages, and pages with nothing kept, have an empty
-    text (a page of mere text is scored as one block).  Whole pages are read,
+    Null and empty pages, and pages with nothing kept, have an empty text; a page
+    without any block element is all text, and kept.  Whole pages are read,
     each by itself; repeated rows and null ids are returned as they are; columns
     not in keep are not looked at; an empty table gives an empty result.
     """
