@@ -36,7 +36,7 @@ COMBINED = 2
 #: Frequent tokens in a prefix up to which all combinations are indexed; sets with more use single entries.
 MOST_COMBINED = 48
 #: Text bytes whose token prints make a bucket, on average; and tokens that are dealt to buckets at once.
-BUCKET_BYTES, DEAL_TOKENS = 16 << 20, 1 << 21
+BUCKET_BYTES, DEAL_TOKENS = 16 << 20, 1 << 20
 #: Leaders of a group in one round, and rounds with leaders at most.
 LEADERS, ROUNDS = 8, 6
 

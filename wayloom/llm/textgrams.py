@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from xxhash import xxh3_128_digest
 
 #: Bytes of text that are hashed at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _U = np.uint64
 
 
@@ -81,8 +81,10 @@ def shingle_sets(column: pa.Array, width: int):
         for k, n in enumerate(counts.tolist()):
             if n >= width:
                 mine = slice(at, at + n - width + 1)
-                s, where = np.unique(runs[mine], return_index=True)
-                total = int(seconds[mine][where].sum(dtype=_U))
+                order = np.argsort(runs[mine])
+                s = runs[mine][order]
+                new = np.concatenate(([True], s[1:] != s[:-1]))
+                s, total = s[new], int(seconds[mine][order[new]].sum(dtype=_U))
             elif n:
                 short = [_U(sum(int(w) * int(o) for w, o in zip(x[at : at + n], m)) + n & (1 << 64) - 1) for x, m in ((words, odd), (others, even))]
                 pair = mix(np.array(short, dtype=_U) ^ _U(0x5851F42D4C957F2D))
