@@ -1,17 +1,27 @@
 """Secret scans by assignment-aware lexing.
 
-Besides three base patterns, source and configuration syntax is lexed into
-(name, literal) pairs: ``name = "x"``, ``name: x``, ``"name": "x"``,
-``name => 'x'``, ``export NAME=x``, ``<name>x</name>``-free.  A quoted subscript is
-the end of a name (``config["name"] = "x"``), and a type may stand before the
-value (``name: str = "x"``).  Names that hold a
-constant pass it on (``k = "abc"`` then ``password = k``, or ``"a" + k``), and a
+Besides three base patterns, source and configuration syntax is lexed, and
+(name, literal) pairs are read from it:
+
+* ``name = "x"``, ``name: x``, ``"name": "x"``, ``name => 'x'``, ``name := "x"``,
+  ``export NAME=x``, ``a = b = "x"``, ``put("name", "x")``, ``<name>x</name>``;
+* names have dots and quoted subscripts (``config["db"].name = "x"``), and a type
+  may stand before the value (``name: str = "x"``);
+* strings have prefixes, escapes, three quotes over many lines, or are YAML
+  blocks; their contents are lexed too (``"Server=a;Password=x"``), and so are
+  comments: a secret in a comment is one.
+
+Names that hold a constant pass it on (``k = "abc"`` then ``password = k``, or
+``"a" + k``) until their scope, a block by braces or indentation, ends.  A
 literal is reported when its target's name and its own look make it likely.
+An unquoted word counts as a literal if it has a digit or 16 characters: shorter
+ones without digits are mostly words of a sentence.
+
+The lexer goes forward once; no part of a text is read again at each start.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections import Counter
@@ -39,19 +49,40 @@ SENSITIVE = {
 HARMLESS = {"length", "len", "count", "limit", "max", "min", "name", "type", "url", "path", "file", "field", "policy", "expiry", "ttl", "label", "id"}
 PLACEHOLDERS = {"changeme", "password", "secret", "example", "placeholder", "none", "null", "true", "false", "undefined", "xxxxxx", "todo", "string"}
 THRESHOLD = 1.1
+#: Unquoted words without a digit count from so many characters.
+PLAIN_WORD = 16
 
-_NAME = r"""[A-Za-z_][\w.\-]*"""
-_SUB = r"""(?:[ \t]*(?:"[^"\n]*"|'[^'\n]*')[ \t]*|[^\[\]\n]*|[^\]\n]{0,64})"""
-_KEY = re.compile(r"""\[[ \t]*(?:"([^"\n]*)"|'([^'\n]*)')[ \t]*\]""")
-_ATOM = r"""(?:"[^"\n]*"|'[^'\n]*'|(?:&(?:'\w+[ \t]+)?(?:mut[ \t]+)?|\*)?[A-Za-z_]\w*(?:(?:\.|::)\w+)*(?:\[(?:[^\[\]\n]|\[[^\[\]\n]*\])*+\]|<(?:[^<>=\n]|<[^<>=\n]*>)*+>)?\??)"""
-_TYPE = re.compile(_ATOM + r"""(?:[ \t]*\|[ \t]*""" + _ATOM + r""")*+[ \t]*=(?![=>~])[ \t]*""")
-_PAIR = re.compile(
-    r"""(?:(?P<q>["'])(?P<quoted>""" + _NAME + r""")(?P=q)|(?P<bare>""" + _NAME + r"""))(?P<subs>(?:\[""" + _SUB + r"""\])*+)[ \t]*(?P<op>:=|=>|==|!=|<=|>=|=|:(?!:))[ \t]*"""
+_PREFIX = r"(?:(?<!\w)[bBfFrRuUL@$]{1,2})"
+_STRING = (
+    _PREFIX + r'''?+(?:"""(?:[^"\\]|\\.|"(?!""))*+"""|"(?:[^"\\\n]|\\.)*+"|`[^`]*+`)'''
+    r"""|(?:""" + _PREFIX + r"""|(?<!\w))(?:'{3}(?:[^'\\]|\\.|'(?!''))*+'{3}|'(?:[^'\\\n]|\\.)*+')"""
 )
-_VALUE = re.compile(r"""(?P<quote>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)|(?P<word>[A-Za-z0-9_./+=\-]+)""")
-_PLUS = re.compile(r"[ \t]*\+[ \t]*")
+_NAME = r"[^\W\d][\w$]*+(?:-[^\W\d]\w*+)*+"
+_LEX = re.compile(
+    r"(?P<prose>(?:\w++[ ,]++)+(?=\w))"  # words of a sentence, but its last
+    r"|(?P<xml><(?P<tag>[A-Za-z_][\w.\-:]*+)(?:[ \t][^<>\n]*+)?>(?P<body>[^<>\n]++)</(?P=tag)[ ]*+>)"
+    r"|(?P<str>" + _STRING + r")"
+    r"|(?P<name>" + _NAME + r")"
+    r"|(?P<join>\?\.|\.|::|->)"
+    r"|(?P<other>[=!<>]=++|=~)"
+    r"|(?P<op>:=|=>|[+?]=|=|:)"
+    r"|(?P<line>\n[ \t]*+)"
+    r"|(?P<space>[^\S\n]++)"
+    r"|(?P<sign>\w++|.)",
+    re.S,
+)
+_OPENS = re.compile(r"""(?P<mark>\"{3}|'{3}|["'`])""")
+_STR = re.compile(_STRING, re.S)
+_SUB = re.compile(r"""\[[ \t]*+(?:"([^"\n]*+)"|'([^'\n]*+)')[ \t]*+\]|\[[^\[\]\n"']*+\]""")
+_CHAIN = re.compile(_NAME + r"""(?:(?:\?\.|\.|::|->)""" + _NAME + r"""|\[[ \t]*+(?:"[^"\n]*+"|'[^'\n]*+')[ \t]*+\])*+""")
+_LINKS = re.compile(_NAME + r"""|"[^"\n]*+"|'[^'\n]*+'""")
+_WORD = re.compile(r"[A-Za-z0-9_./+=\-!@#$%^&*~]++")
+_PLUS = re.compile(r"[ \t]*+(?:\+|\.\.|&)(?![=&.])[ \t]*+")
+_BLANK = re.compile(r"[ \t]*+")
+_BLOCK = re.compile(r"[|>][+\-]?+\d*+[ \t]*+\n(?P<lead>[ \t]++)(?=\S)")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
-_HAS_PAIR = re.compile(r"[=:]")
+_ESCAPE = re.compile(r"\\(?:x([0-9a-fA-F]{2})|u([0-9a-fA-F]{4})|(.))", re.S)
+_PAIRED = re.compile(r"[=:<(]")
 
 
 def sensitivity(name: str) -> float:
@@ -73,60 +104,187 @@ def randomness(value: str) -> float:
     return min(1.0, bits / 4.5) * 0.6 + kinds / 4 * 0.4
 
 
-def pairs(text: str):
-    """(name, value, start, end) for literals that names are given, with constants passed on.
+def unescaped(literal: str) -> str:
+    """A string's contents with its escapes read."""
+    if "\\" not in literal:
+        return literal
+    return _ESCAPE.sub(lambda m: chr(int(m[1] or m[2], 16)) if m[1] or m[2] else {"n": "\n", "t": "\t", "r": "\r", "\n": ""}.get(m[3], m[3]), literal)
+
+
+def _inside(text: str, start: int, end: int) -> tuple[int, int]:
+    """Where a string's contents stand."""
+    mark = _OPENS.search(text, start)
+    n = len(mark["mark"])
+    return mark.end(), max(mark.end(), end - n)
+
+
+class _Scopes:
+    """Constants by name, in blocks by braces and indentation; a block that ends takes its constants with it."""
+
+    def __init__(self) -> None:
+        self.of: dict[str, list] = {}
+        self.blocks: list[tuple[int, int, list[str]]] = [(0, 0, [])]
+
+    def bind(self, name: str, found: list, depth: int, indent: int) -> None:
+        if self.blocks[-1][:2] != (depth, indent):
+            self.blocks.append((depth, indent, []))
+        self.blocks[-1][2].append(name)
+        self.of.setdefault(name, []).append(found)
+
+    def leave(self, depth: int, indent: int) -> None:
+        while len(self.blocks) > 1 and (self.blocks[-1][0] > depth or self.blocks[-1][1] > indent):
+            for name in self.blocks.pop()[2]:
+                self.of[name].pop()
 
-    A value that was passed on has the place of the literal where it was written.
+    def get(self, name: str) -> list | None:
+        held = self.of.get(name)
+        return held[-1] if held else None
+
+
+def pairs(text: str, base: int = 0, nested: bool = False):
+    """(names, value, places) for literals that names are given, with constants passed on.
+
+    A value that was passed on has the places of the literals where they were
+    written.  ``base`` is added to places; the contents of strings are lexed
+    once more, but not the strings in them.
     """
-    constants: dict[str, list[tuple[str, int, int]]] = {}
+    scopes, strings = _Scopes(), []
+    depth = indent = 0
+    chain: list[str] = []  # the name that was just read
+    waiting: list[str] = []  # names on this line whose value has not come yet
+    joined, call, first, angle = False, 0, "", 0
+
+    def literal(start: int, end: int) -> tuple[str, int, int]:
+        a, b = _inside(text, start, end)
+        strings.append((a, b))
+        return unescaped(text[a:b]), base + a, base + b
 
     def values(at: int) -> tuple[list[tuple[str, int, int]], int]:
-        """The literals of the value at a place, and where it ends."""
+        """The literals of the value at a place, and where it ends; none if it is no literal."""
         found = []
-        while v := _VALUE.match(text, at):
-            if v["quote"]:
-                found.append((v["quote"][1:-1], v.start() + 1, v.end() - 1))
-            elif v["word"] in constants:
-                found.extend(constants[v["word"]])
-            elif v["word"][0].isdigit() or any(c.isdigit() for c in v["word"]) or len(v["word"]) >= 16:
-                found.append((v["word"], v.start(), v.end()))
-            at = v.end()
-            plus = _PLUS.match(text, at)
-            if not plus:
-                break
+        if block := _BLOCK.match(text, at):
+            at, lead = block.end() - len(block["lead"]), block["lead"]
+            while text.startswith(lead, at):
+                end = text.find("\n", at)
+                end = len(text) if end < 0 else end
+                if text[at:end].strip():
+                    found.append((text[at + len(lead) : end].rstrip(), base + at + len(lead), base + at + len(text[at:end].rstrip())))
+                at = end + 1
+            return found, min(at - 1, len(text))
+        while True:
+            if s := _STR.match(text, at):
+                found.append(literal(s.start(), s.end()))
+                at = s.end()
+                after = _BLANK.match(text, at).end()
+                if _STR.match(text, after):  # strings side by side are one
+                    at = after
+                    continue
+            else:
+                name = _CHAIN.match(text, at)
+                known = scopes.get(".".join(x.strip("\"'") for x in _LINKS.findall(name[0]))) if name else None
+                if known is not None:
+                    found.extend(known)
+                    at = name.end()
+                elif name and text.startswith(("(", "["), name.end()):  # a call, or an element of something
+                    return [], at
+                elif word := _WORD.match(text, at):
+                    plain = word[0].rstrip(".!")
+                    if plain and (any(c.isdigit() for c in plain) or len(plain) >= PLAIN_WORD):
+                        found.append((plain, base + at, base + at + len(plain)))
+                    at = word.end()
+                else:
+                    return [], at
+            if not (plus := _PLUS.match(text, at)):
+                return found, at
             at = plus.end()
-        return found, at
 
-    at = 0
-    while m := _PAIR.search(text, at):
-        at = m.end()
-        if m["op"] in ("==", "!=", "<=", ">="):
+    at, n = 0, len(text)
+    while at < n:
+        m = _LEX.match(text, at)
+        kind, at = m.lastgroup, m.end()
+        if kind == "space":
+            continue
+        if kind == "name":
+            if not joined:
+                chain = []
+            chain.append(m[0])
+            joined = False
+            continue
+        if kind == "join":
+            joined = bool(chain)
             continue
-        base = m["quoted"] or m["bare"]
-        name = ".".join([base, *(a or b for a, b in _KEY.findall(m["subs"]))])
-        found, end = values(at)
-        if found:
-            at = max(at, end)
-            constants[base] = found
-            yield name, "".join(f[0] for f in found), found
-        # what stands before the "=" may be a type, or a name of its own, which the search finds next
-        if m["op"] == ":" and (typed := _TYPE.match(text, m.end())):
-            found, _ = values(typed.end())
+        joined = False
+        if kind == "op":
+            at = _BLANK.match(text, at).end()
+            if chain:
+                waiting.append(".".join(chain))
+            found, end = values(at) if waiting else ([], at)
             if found:
-                constants[base] = found
-                yield name, "".join(f[0] for f in found), found
+                at = max(at, end)
+                for name in waiting:
+                    scopes.bind(name, found, depth, indent)
+                yield waiting, "".join(f[0] for f in found), found
+            if found or m[0] not in (":", "="):
+                waiting = []
+            chain, call, angle = [], 0, 0
+            continue
+        if kind == "str":
+            value, a, b = literal(m.start(), m.end())
+            if call == 3:
+                yield [first], value, [(value, a, b)]
+            call = 2 if call == 1 else 0
+            first = value
+            chain = [value] if re.fullmatch(_NAME + r"(?:[.\-]\w++)*+", value) else []
+            continue
+        if kind == "xml":
+            a, b = m.span("body")
+            yield [m["tag"]], m["body"].strip(), [(m["body"].strip(), base + a + len(m["body"]) - len(m["body"].lstrip()), base + b - len(m["body"]) + len(m["body"].rstrip()))]
+        elif kind == "line":
+            indent = len(m[0]) - 1
+            if text[at : at + 1] not in ("\n", ""):
+                scopes.leave(depth, indent)
+            waiting, chain = [], []
+            continue
+        elif kind == "sign":
+            if m[0] == "[" and chain and (sub := _SUB.match(text, m.start())):
+                at = sub.end()
+                if (key := sub[1] if sub[1] is not None else sub[2]) is not None:
+                    chain.append(key)
+                continue
+            if m[0] in "[<":
+                angle += 1
+            elif m[0] in "]>":
+                angle = max(0, angle - 1)
+            elif m[0] == "{":
+                depth += 1
+            elif m[0] == "}":
+                depth = max(0, depth - 1)
+                scopes.leave(depth, indent)
+            if m[0] in ";({" or (m[0] == "," and not angle):
+                waiting = []
+            call = 1 if m[0] == "(" else 3 if m[0] == "," and call == 2 else 0
+        else:  # a sentence, or a comparison; a type may have a word or two before its last
+            if kind != "prose" or not (angle or (m[0].count(" ") <= 2 and "," not in m[0])):
+                waiting = []
+            call = 0
+        chain = []
+    if not nested:
+        for a, b in strings:
+            if _PAIRED.search(text, a, b):
+                yield from pairs(text[a:b], base + a, True)
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start and kind; the base patterns' spans are all among them."""
-    out = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_VALUE] if _HAS_PAIR.search(text) else []
+    paired = "=" in text or ":" in text
+    out = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_VALUE] if paired else []
     if "AKIA" in text:
         out += [("access", m.start(), m.end()) for m in ACCESS.finditer(text)]
     out += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
-    if out or "=" in text or ":" in text:
+    if paired or "</" in text or "(" in text and ("\"" in text or "'" in text):
         literal = set()
-        for name, value, places in pairs(text):
-            s = sensitivity(name)
+        for names, value, places in pairs(text):
+            s = max(map(sensitivity, names))
             if s and value.lower() not in PLACEHOLDERS and s + randomness(value) >= THRESHOLD:
                 literal.update(("literal", a, b) for _, a, b in places)
         out += literal
@@ -138,9 +296,10 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Kinds: assign, access and hex are the base patterns, leftmost and
     non-overlapping per kind; literal is a scored literal of an assignment.
-    Offsets count code points, end is exclusive.  Null or empty texts have no
-    findings; whole texts are read, each by itself; repeated rows and null ids
-    are returned as they are; other columns are not looked at.
+    Offsets count code points, end is exclusive.  value is what stands there,
+    the secret itself: ``digest`` gives counts and places only.  Null or empty
+    texts have no findings; whole texts are read, each by itself; repeated rows
+    and null ids are returned as they are; other columns are not looked at.
     """
     small_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
@@ -166,13 +325,3 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return found.select(
         id_col, of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"), F.sha2(told(base), 256).alias("base_sha256"), told(F.col("findings")).alias("spans"), of("literal").alias("n_literal"),
     )
-
-
-def brute(text: str | None) -> tuple[int, int, int, str]:
-    """The base counts and digest by the plain patterns; for tests."""
-    text = text or ""
-    a = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
-    b = [("access", m.start(), m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
-    c = [("hex", m.start(), m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
-    spans = sorted(a + b + c, key=lambda x: (x[1], KINDS.index(x[0])))
-    return len(a), len(b), len(c), hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans).encode()).hexdigest()
