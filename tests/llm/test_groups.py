@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import DATA
 from test_text_operators import EDGE, documents, edge  # noqa: F401
-from wayloom.llm import common, exactdedup, ngramjoin, packing, shardtree
+from wayloom.llm import common, exactdedup, linededup, ngramjoin, packing, shardtree, winnow
 
 
 def test_exact_copies(spark, edge):  # noqa: F811
@@ -193,3 +194,148 @@ def test_packing_edges(spark, edge):  # noqa: F811
     assert {r["doc_id"] for r in got} == {r[0] for r in EDGE}
     assert sum(r["piece_len"] for r in got if r["doc_id"] == 5) == 20001
     assert packing.best_fit(edge.where("false")).count() == 0
+
+
+def test_pack_takes_no_tokens(spark):
+    for lengths in ([0], [512, 0], [0, 0, 0], [8192, 0, 0]):
+        bins, offsets, sizes = packing.pack(np.array(lengths))
+        assert len(bins) == len(lengths) and (sizes >= 512).all()
+    one = spark.createDataFrame([(1, None)], "doc_id long, n long")
+    assert [(r["piece_len"], r["capacity"]) for r in packing.best_fit(one, length=F.col("n"), text_col="n").collect()] == [(0, 512)]
+
+
+def least_cost(lengths, capacities):
+    """The least cost of all ways to part the pieces into bins, by trying them all."""
+    best = [float("inf")]
+
+    def place(i, bins):
+        if i == len(lengths):
+            best[0] = min(best[0], sum(packing.cost(min(c for c in capacities if c >= b)) for b in bins))
+            return
+        for k in range(len(bins)):
+            if bins[k] + lengths[i] <= max(capacities):
+                place(i + 1, [*bins[:k], bins[k] + lengths[i], *bins[k + 1 :]])
+        place(i + 1, [*bins, lengths[i]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_packing_against_all_ways(spark):
+    r, ratios = random.Random(6), []
+    for _ in range(150):
+        lengths = sorted((r.choice((r.randint(1, 512), r.randint(1, 4000), r.randint(1, 8192))) for _ in range(r.randint(1, 7))), reverse=True)
+        bins, offsets, sizes = packing.pack(np.array(lengths))
+        fill = np.bincount(bins, lengths)
+        assert all(fill[b] <= c for b, c in zip(bins, sizes))
+        ratios.append(sum(packing.cost(int(sizes[bins == b][0])) for b in set(bins.tolist())) / least_cost(lengths, packing.CAPACITIES))
+    assert min(ratios) >= 1 and sum(ratios) / len(ratios) < 1.06 and sum(x == 1 for x in ratios) >= 0.7 * len(ratios)
+
+
+def test_hot_lengths_are_spread(spark):
+    docs = spark.range(9000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(700).alias("n"))
+    got = packing.best_fit(docs, length=F.col("n"), text_col="n", bucket_pieces=500)
+    buckets = got.groupBy(F.shiftright("bin_id", 32).alias("b")).count().collect()
+    assert sum(r["count"] for r in buckets) == 9000 and max(r["count"] for r in buckets) < 1500
+
+
+def test_sequences_hold_the_ids(spark):
+    r = random.Random(2)
+    rows = [(i if i % 5 else None, n, np.arange(i * 1000, i * 1000 + n, dtype="<u4").astype(t).tobytes()) for i, (n, t) in enumerate([(r.choice((1, 5, 600, 8192, 8193, 20000)), r.choice(("<u2", "<u4"))) for _ in range(60)])]
+    tokens = common.materialize(spark.createDataFrame([*rows, (99, 0, None)], "doc_id long, n_tokens long, ids binary"), "t")
+    got, pieces = packing.sequences(tokens, bucket_tokens=50_000, pad_id=7).collect(), []
+    want = {b for _, _, b in rows}
+    for x in got:
+        ids = np.frombuffer(x["input_ids"], "<u4")
+        assert len(ids) == x["capacity"] and (ids[x["n_tokens"] :] == 7).all() and x["n_tokens"] == sum(p["piece_len"] for p in x["pieces"])
+        for p in x["pieces"]:
+            pieces.append((p["doc_id"], p["n_tokens"], p["piece"], ids[p["bin_offset"] : p["bin_offset"] + p["piece_len"]]))
+    assert sum(len(p[3]) for p in pieces) == sum(n for _, n, _ in rows) and len([p for p in pieces if p[0] == 99]) == 1
+    by_doc = {}
+    for doc, n, piece, ids in pieces:
+        if doc not in (None, 99):
+            by_doc.setdefault(doc, {})[piece] = ids
+    for doc, parts in by_doc.items():
+        whole = np.concatenate([parts[k] for k in sorted(parts)])
+        assert whole.astype("<u2").tobytes() in want or whole.tobytes() in want
+    assert packing.sequences(tokens.where("false")).count() == 0
+
+
+def test_a_tree_keeps_its_base(spark):
+    with pytest.raises(ValueError):
+        shardtree.topology(7)
+    key = F.col("id").cast("string")
+    out = spark.range(6000).select(*[shardtree.assign(key, shardtree.topology(n, base=3)).alias(f"n{n}") for n in range(3, 9)]).toPandas()
+    for n in range(3, 8):
+        assert set(out[out[f"n{n}"] != out[f"n{n + 1}"]][f"n{n + 1}"]) == {n}
+
+
+def test_shard_sizes_and_checksums(spark, edge):  # noqa: F811
+    for docs in (documents(spark), edge):
+        want = sorted((r["doc_id"] if r["doc_id"] is not None else -1, len((r["text"] or "").encode()) + 1, zlib.crc32((r["text"] or "").encode())) for r in docs.collect())
+        got = shardtree.shard_rows(docs).collect()
+        assert sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["size"], r["text_crc32"]) for r in got) == want
+        for s in range(8):
+            assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+
+
+def test_lengths_settle_rows_before_their_text_is_hashed(spark, monkeypatch):
+    texts = ["a", "bb", "same length 1", "same length 2", "copy copy", "copy copy", "x" * 300 + "1", "x" * 300 + "2"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spy = lambda what, of, bad: monkeypatch.setattr(exactdedup, what, lambda t, *a: F.when(t.isin(bad), F.raise_error(F.lit(f"{what} of a settled text")).cast("long" if what == "_prefix" else "string")).otherwise(of(t, *a)))
+    spy("_prefix", exactdedup._prefix, ["a", "bb"])
+    spy("_whole", exactdedup._whole, ["a", "bb", "same length 1", "same length 2"])
+    got = {r["doc_id"]: (r["keep_id"], r["kept"]) for r in exactdedup.exact_dedup(docs).collect()}
+    assert got == {i: (5 if i == 4 else i, i != 4) for i in range(8)}
+    monkeypatch.undo()
+    spy("_whole", exactdedup._whole, ["a", "bb", "same length 1", "same length 2"])
+    assert sorted(r["doc_id"] for r in exactdedup.drop_exact_copies(docs).collect()) == [0, 1, 2, 3, 5, 6, 7]
+
+
+CLASHING = "_gone _sha _id _len _ph _th _gid _gth _lines _bad _told _key _kept _size".split()
+
+
+def test_names_do_not_clash(spark, edge):  # noqa: F811
+    docs = edge.drop("_t", "fp")
+    for c in CLASHING:
+        docs = docs.withColumn(c, F.lit(c))
+    some = spark.createDataFrame([(1, "word " * 15)], "item_id long, text string")
+    for out in (exactdedup.drop_exact_copies(docs), ngramjoin.drop_near_duplicates(docs), winnow.drop_contaminated(docs, some), linededup.dedup_lines(docs)):
+        rows = out.select(*CLASHING).distinct().collect()
+        assert [tuple(r) for r in rows] == [tuple(CLASHING)] and set(docs.columns) <= set(out.columns)
+
+
+def test_groups_of_any_size_are_matched(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_SHARE", 0.2)
+    rows = spark.range(8000).select("id", F.when(F.col("id") < 5000, 0).otherwise(F.col("id") % 7).alias("k"))
+    groups = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("k < 5")
+    for how in ("inner", "left"):
+        got = common.match_groups(rows, groups, ["k"], "n", 8000, how)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, rows.join(groups, "k", how).collect()), key=str)
+    assert common.unused(["_a", "__A", "b"], "_a", "c", "c") == ["___a", "c", "_c"]
+
+
+def test_words_that_a_power_series_confuses(spark):
+    """A Thue-Morse word and its complement hash alike in any polynomial modulo a power of two."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    got = ngramjoin.near_duplicates(spark.createDataFrame([(1, word), (2, other), (3, other)], "doc_id long, text string"))
+    assert {r["doc_id"]: (r["component_id"], r["n_equal"]) for r in got.collect()} == {1: (1, 1), 2: (2, 2), 3: (2, 2)}
+
+
+def test_rows_of_one_id_keep_the_links_of_all_their_texts(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    docs = spark.createDataFrame([(1, a + " end"), (5, a), (5, b), (7, b + " end"), (9, "alone")], "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"]) for r in ngramjoin.near_duplicates(docs).collect()}
+    assert got == {(1, 1), (5, 1), (7, 1), (9, 9)}
+    twice = spark.createDataFrame([(5, a), (5, b), (7, b + " end")], "doc_id long, text string")
+    assert [r["doc_id"] for r in ngramjoin.drop_near_duplicates(twice).collect()] == [5]
+
+
+def test_a_shingle_that_all_share(spark, monkeypatch):
+    monkeypatch.setattr(ngramjoin, "DEAL_TOKENS", 300)  # many deals
+    r = random.Random(9)
+    rows = [(i, "one passage that all of them share " + " ".join(f"x{r.randrange(10**9)}" for _ in range(3 if i % 3 else 40))) for i in range(150)] + [(500 + i, "one passage that all of them share and more of it") for i in range(20)]
+    assert near(spark, rows) == brute_components(rows)

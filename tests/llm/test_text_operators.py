@@ -320,3 +320,29 @@ def test_language_rejects_noise_and_unseen_scripts(spark):
     assert [texts[i][:40] for i in range(len(texts)) if not got[i]] == []
     held = langid.identify(docs.where(langid.fold() == 2), model)
     assert held.where("rejected").count() <= 0.01 * held.count()
+
+
+def test_many_fingerprints_take_the_same_way(spark):
+    r = random.Random(12)
+    items = [(i, " ".join(f"w{r.randrange(10**6)}" for _ in range(400))) for i in range(320)]  # some 25,000 fingerprints
+    docs = [(i, " ".join(f"v{r.randrange(10**6)}" for _ in range(60)) + " " + " ".join(items[i][1].split()[50 : 50 + 11 + i % 4])) for i in range(40)]
+    got = winnow.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    told = sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], ",".join(r["items"]), r["contaminated"]) for r in got.collect()), key=str)
+    assert told == brute_contamination(docs, items) and sum(t[5] for t in told) == 20
+
+
+def test_grams_of_long_texts_are_those_of_their_parts(monkeypatch):
+    import numpy as np
+
+    data = np.frombuffer(random.Random(4).randbytes(5000), np.uint8)
+    offsets = np.array([0, 0, 1, 3, 1500, 1500, 5000])
+    whole = langid.grams(data, offsets)
+    monkeypatch.setattr(langid, "STEP", 7)
+    assert (langid.grams(data, offsets) == whole).all()
+    assert (langid._dense([langid._sparse(x) for x in whole]) == whole).all()
+
+
+def test_labels_beyond_the_bound_are_left_out(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("lang", F.when(F.col("doc_id") % 20 == 1, F.concat(F.lit("x"), "doc_id")).otherwise(F.col("lang")))
+    assert len(set(langid.train(docs).langs)) == 2

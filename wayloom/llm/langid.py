@@ -15,13 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches
-
 from .textgrams import mix, text_slices
 
 #: Hashed n-grams: lengths in bytes, and dimensions of a vector.
 LENGTHS, DIMENSIONS = (1, 2, 3, 4), 1 << 13
 #: Training texts of a language, about: a bounded, documented sample of rows, each with its whole text.
 SAMPLE = 300
+#: Texts of the sample in all, with that many languages or more, and the languages that are learned, those with most texts.
+SAMPLE_IN_ALL, LANGUAGES = 6000, 200
+#: Bytes of text whose n-grams are counted at once.
+STEP = 1 << 20
 CENTROIDS, ITERATIONS = 4, 12
 #: Share of a language's training texts, those farthest from their mean, that no centroid is made of: a text of digits would be one by itself and accept all noise.
 OUTLIERS = 0.02
@@ -39,24 +42,43 @@ _U = np.uint64
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Counts of hashed n-grams, a row for each text; no n-gram crosses texts."""
+    """Counts of hashed n-grams, a row for each text; no n-gram crosses texts.
+
+    Bytes are taken STEP at a time, so a long text needs no more memory.
+    """
     rows = len(offsets) - 1
     out = np.zeros(rows * DIMENSIONS, dtype=np.float32)
-    x = _fold[data].astype(_U)
-    row = np.repeat(np.arange(rows), np.diff(offsets))
-    for n in LENGTHS:
-        size = len(x) - n + 1
-        if size <= 0:
-            continue
-        code = x[:size].copy()
-        for j in range(1, n):
-            code = code << _U(8) | x[j : j + size]
-        inside = row[:size] == row[n - 1 :]
-        at = (mix(code + _U(n << 40)) & _U(DIMENSIONS - 1)).astype(np.int64) + row[:size] * DIMENSIONS
-        out += np.bincount(at[inside], minlength=len(out)).astype(np.float32)
+    for start in range(0, len(data), STEP):
+        x = _fold[data[start : start + STEP + max(LENGTHS) - 1]].astype(_U)
+        here = np.clip(offsets, start, start + len(x))
+        row = np.repeat(np.arange(rows), np.diff(here))
+        for n in LENGTHS:
+            size = min(STEP, len(x) - n + 1)
+            if size <= 0:
+                continue
+            code = x[:size].copy()
+            for j in range(1, n):
+                code = code << _U(8) | x[j : j + size]
+            inside = row[:size] == row[n - 1 : n - 1 + size]
+            at = (mix(code + _U(n << 40)) & _U(DIMENSIONS - 1)).astype(np.int64) + row[:size] * DIMENSIONS
+            out += np.bincount(at[inside], minlength=len(out)).astype(np.float32)
     return out.reshape(rows, DIMENSIONS)
 
 
+def _sparse(counts: np.ndarray) -> bytes:
+    """A row of counts as places and values."""
+    at = np.flatnonzero(counts)
+    return at.astype("<u2").tobytes() + counts[at].astype("<f4").tobytes()
+
+
+def _dense(rows: list[bytes]) -> np.ndarray:
+    out = np.zeros((len(rows), DIMENSIONS), np.float32)
+    for i, raw in enumerate(rows):
+        n = len(raw) // 6
+        out[i, np.frombuffer(raw, "<u2", n)] = np.frombuffer(raw, "<f4", n, 2 * n)
+    return out
+
+
 def _vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     v = np.sqrt(counts) * idf
     norm = np.linalg.norm(v, axis=1, keepdims=True)
@@ -151,8 +173,10 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", key_c
     """Fit on about ``sample`` whole texts of each language, all of a language that has fewer.
 
     The sample is drawn by a hash of the key, so it does not depend on order or
-    partitions.  Texts are counted where they are; the driver gets a vector of
-    DIMENSIONS for each sampled text.  Rows without text or language are left out.
+    partitions.  Texts are counted where they are; the driver gets the counts
+    that are not 0 of each sampled text, of some SAMPLE_IN_ALL texts and
+    LANGUAGES languages at most, however many labels the table has.  Rows
+    without text or language are left out.
 
     The least cosines come from the same texts, cut to several lengths: each
     half of them is measured against centroids of the other half.  So a text is
@@ -161,12 +185,13 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", key_c
     good = rows.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.shiftrightunsigned(F.xxhash64(F.col(key_col).cast("string"), F.lit(11)), 11).alias("k"), F.col(text_col).alias("text")
     )
-    sizes = {r["lang"]: r["count"] for r in rows.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang")).count().collect()}  # a row a label
+    sizes = rows.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    sizes = {r["lang"]: r["count"] for r in sizes.collect()}
     if not sizes:
         return Model.fit(np.zeros((0, DIMENSIONS), np.float32), [])
     drawn = F.lit(False)
     for lang, n in sorted(sizes.items()):
-        drawn = drawn | ((F.col("lang") == lang) & (F.col("k") < F.lit(int(2**53 * min(1.0, sample / n)))))
+        drawn = drawn | ((F.col("lang") == lang) & (F.col("k") < F.lit(int(2**53 * min(1.0, min(sample, SAMPLE_IN_ALL // len(sizes)) / n)))))
 
     mine = good.where(drawn).select("lang", "text", F.col("k").bitwiseAND(1).cast("int").alias("half"))
 
@@ -174,13 +199,13 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", key_c
         for batch in batches:
             for start in range(0, len(batch), 256):
                 some = batch.slice(start, 256)
-                found = [x.tobytes() for _, d, o in text_slices(some.column(1)) for x in grams(d, o)]
+                found = [_sparse(x) for _, d, o in text_slices(some.column(1)) for x in grams(d, o)]
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), pa.array(found, pa.binary())], names=["lang", "half", "counts"])
 
     got = sorted((r["lang"], bytes(r["counts"]), r["half"]) for r in mine.mapInArrow(count, "lang string, half int, counts binary").collect())
 
     def fitted(rows: list[tuple]) -> Model:
-        return Model.fit(np.stack([np.frombuffer(c, np.float32) for _, c, _ in rows]) if rows else np.zeros((0, DIMENSIONS), np.float32), [r[0] for r in rows])
+        return Model.fit(_dense([r[1] for r in rows]), [r[0] for r in rows])
 
     model, halves = fitted(got), [fitted([r for r in got if r[2] == h]) for h in (0, 1)]
     shared = rows.sparkSession.sparkContext.broadcast([(m.idf, m.centroids, m.langs, m.least) for m in halves])

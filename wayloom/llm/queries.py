@@ -25,14 +25,17 @@ def op2_assignment_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secretscan.digest(secretscan.secrets(table(spark, sf_dir, "documents")))
 
 
-def op3_variable_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+def packed(docs: DataFrame) -> DataFrame:
     """The pieces of every document's token ids (byte_bpe_50k, an end mark) in packed sequences, and the crc32 of the sequence each is in."""
-    tokens = materialize(wavelet.token_ids(table(spark, sf_dir, "documents"), tokenizer_path()), "token_ids")
-    bins = packing.sequences(tokens)
-    laid = bins.select("bin_id", "capacity", F.crc32("input_ids").alias("bin_crc32"), F.explode("pieces").alias("p"))
+    tokens = materialize(wavelet.token_ids(docs, tokenizer_path()), "token_ids")
+    laid = packing.sequences(tokens).select("bin_id", "capacity", F.crc32("input_ids").alias("bin_crc32"), F.explode("pieces").alias("p"))
     return laid.select("p.*", "bin_id", "capacity", "bin_crc32")
 
 
+def op3_variable_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op4_token_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.near_duplicates(table(spark, sf_dir, "documents"), width=5, percent=80)
 
@@ -101,7 +104,7 @@ def op8_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.where(langid.fold() != 2))
     found = langid.identify(docs, model)
-    return found.select("doc_id", (langid.fold() == 2).alias("held_out"), "lang_pred", "score", "rejected")
+    return found.select("doc_id", F.coalesce(langid.fold() == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op9_refined_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
