@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayloom.llm import exactdedup, langid, ngramjoin, packing, winnow
+from wayloom.llm import exactdedup, langid, ngramjoin, queries, winnow
 from wayloom.llm.common import materialize, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -32,8 +32,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's pieces in bins of several sequence lengths; the unit is words and an end mark, not token ids."""
-    return packing.best_fit(docs).withColumnRenamed("n_tokens", "n_words")
+    """Every document's token ids (byte_bpe_50k and an end mark), cut into pieces and laid out in sequences of several lengths."""
+    return queries.packed(docs)
 
 
 STAGES = [
@@ -49,6 +49,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents that every stage keeps: doc_id, n_tokens, piece, piece_start, piece_len, bin_id, bin_offset, capacity, bin_crc32."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "_"))
