@@ -139,3 +139,105 @@ def test_archive_round_trip(spark, tmp_path):
     windows.write_archive(make(spark, {"datetime": 1704067200}, {"datetime": 1704067260}), str(tmp_path / "a"))
     got = spark.read.parquet(str(tmp_path / "a"))
     assert got.where("date = '2024-01-01' and hhmm = '00-01'").count() == 1 and got.count() == 2
+
+
+def test_route_hue_is_the_maps(spark):
+    def plain(name):
+        """Numbers as a browser has them: only a shift makes 32 bits."""
+        h = 0
+        for c in name:
+            shifted = (h << 5) & 0xFFFFFFFF
+            h = ord(c) + (shifted - (1 << 32) if shifted >> 31 else shifted) - h
+        return abs(h) % 360
+
+    names = [f"{i}-long-route" for i in range(300)] + ["1", "150", "Route 150 Cho Lon", "a" * 60]
+    got = spark.createDataFrame([(n,) for n in [*names, "UNKNOWN", "", None]], "r string").select("r", numbers.route_hue(F.col("r")).alias("h")).collect()
+    assert {r["r"]: r["h"] for r in got if r["r"] not in ("UNKNOWN", "", None)} == {n: plain(n) for n in names} and plain("Route 150 Cho Lon") == 354
+    assert {r["h"] for r in got if r["r"] in ("UNKNOWN", "", None)} == {None}
+
+
+def test_stops_are_those_of_a_state_machine(spark):
+    from conftest import DATA
+    from wayloom.sources import fixture
+
+    clean = pings.clean(fixture.pings(spark, str(DATA)), fixture.routes(spark, str(DATA)))
+    by_vehicle, want = {}, []
+    for r in clean.collect():
+        by_vehicle.setdefault(r["vehicle"], []).append(r)
+    for vehicle, rows in by_vehicle.items():
+        since = None
+        for r in sorted(rows, key=lambda r: (r["datetime"], r["event_id"], r["copy"])):
+            speed = r["speed"] or 0.0
+            if since is None and speed < 2:
+                since = r
+            elif since is not None and speed >= 5:
+                if r["datetime"] - since["datetime"] >= 60:
+                    want.append((vehicle, since["y"], since["x"], r["datetime"] - since["datetime"], since["datetime"], r["datetime"]))
+                since = None
+    assert want and sorted(map(tuple, stops.stops(clean).collect())) == sorted(want)
+
+
+def test_replay(spark):
+    rows = [("a", 1, 1, 100), ("b", 1, 1, 104), ("a", 1, 1, 110), ("a", 1, 2, 90), ("a", 1, 2, 120), ("b", 2, 1, 130)]
+    table = spark.createDataFrame(rows, "vehicle string, part int, file_no int, datetime long").repartition(3)
+    assert [(r["part"], r["file_no"], r["datetime"]) for r in readers.in_replay_order(table).collect()] == [r[1:] for r in rows]
+    got = {(r["part"], r["file_no"], r["datetime"]): r["wait_s"] for r in readers.replay_gaps(table, 2.0).collect()}
+    assert got == {(1, 1, 100): 0.0, (1, 1, 104): 2.0, (1, 1, 110): 3.0, (1, 2, 90): 0.0, (1, 2, 120): 15.0, (2, 1, 130): 5.0}
+    assert {r["wait_s"] for r in readers.replay_gaps(table, 0).collect()} == {0.0}
+
+
+def test_kafka_rows_are_read_back(spark):
+    table = make(spark, {"datetime": 5, "speed": None, "ignition": True}, {"datetime": 6, "vehicle": "w"})
+    sent = readers.to_kafka_rows(table)
+    assert sent.columns == ["key", "value"] and [r["key"] for r in sent.orderBy("key").collect()] == ["v", "w"]
+    names = ["vehicle", "datetime", "x", "y", "speed", "ignition", "doorUp"]
+    assert sorted(map(tuple, readers.read_messages(sent).select(*names).collect()), key=str) == sorted(map(tuple, table.select(*names).collect()), key=str)
+
+
+def test_messages_are_parsed_once(spark):
+    got = readers.read_messages(spark.createDataFrame([("{}",)], "value string"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") + plan.count("fromjson") == 1
+
+
+def test_odd_messages(spark):
+    given = [
+        '{"msgBusWayPoint":{"vehicle":"a","datetime":77.9,"x":1e-3,"speed":"7,5","ignition":"yes"}}', '{"msgBusWayPoint":{"vehicle":"b","datetime":5', '{"msgBusWayPoint":5}', "[]", "null", "",
+        '{"msgBusWayPoint":{"vehicle":12,"datetime":9,"x":{"y":1}}}',
+    ]
+    got = readers.read_messages(spark.createDataFrame([(v,) for v in given], "value string")).orderBy("datetime").collect()
+    assert [(r["vehicle"], r["datetime"], r["x"], r["speed"], r["ignition"]) for r in got] == [("12", 9, None, None, None), ("a", 77, 0.001, None, True)]
+
+
+def test_missing_route_table(spark, tmp_path):
+    with pytest.warns(UserWarning, match="no routes"):
+        routes = readers.read_routes_csv(spark, str(tmp_path / "none.csv"))
+    got = pings.with_routes(make(spark, {"datetime": 1}).drop("routeNo", "routeId"), routes).first()
+    assert (got["routeNo"], got["routeId"]) == ("UNKNOWN", "0")
+
+
+def test_running_dedup_metrics(spark):
+    rows = [{"datetime": t} for t in (1, 1, 2, 3, 3, 4)]
+    got = pings.running_dedup_metrics(make(spark, *rows), every=2).orderBy("total_seen")
+    assert [(r["total_seen"], r["duplicates_dropped"]) for r in got.collect()] == [(2, 1), (4, 1), (6, 2)]
+    assert pings.dedup_lines(got).collect()[0]["line"] == "DEDUP[v] seen=2 dropped=1 rate=0.500 bloomBytes=0"
+    assert pings.with_detection_time(got).where("detected_at_ms > 1700000000000").count() == 3
+
+
+def test_rates(spark):
+    rows = [("m", "", 0, 5.0), ("m", "", 10_000, 25.0), ("m", "", 20_000, 10.0), ("m", "", 90_000, 99.0), ("one", "", 5_000, 1.0)]
+    got = serving.rate(spark.createDataFrame(rows, "metric string, label string, at_ms long, value double"), 30, 20_000).collect()
+    assert [(r["metric"], r["rate"]) for r in got] == [("m", 1.5)]  # 20 up, a reset, 10 up, in 20 s
+
+
+def test_windows_count_a_vehicle_once(spark):
+    import random
+
+    r = random.Random(5)
+    rows = [{"vehicle": f"v{r.randrange(4)}", "datetime": r.randrange(1500), "routeNo": str(r.randrange(2)), "speed": float(r.randrange(9))} for _ in range(300)]
+    want = {}
+    for x in rows:
+        for end in range(x["datetime"] // 30 * 30 + 30, x["datetime"] // 30 * 30 + 301, 30):
+            want.setdefault((x["routeNo"], end * 1000), []).append(x)
+    got = {(x["route_no"], x["window_end_ms"]): (x["distinct_vehicle_count"], x["event_count"], round(x["avg_speed"], 6)) for x in windows.route_speeds(make(spark, *rows)).collect()}
+    assert got == {k: (len({x["vehicle"] for x in v}), len(v), round(sum(x["speed"] for x in v) / len(v), 6)) for k, v in want.items()}

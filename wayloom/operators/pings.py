@@ -39,6 +39,16 @@ def invalid(pings: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     return with_reason(pings, s).where("reason is not null")
 
 
+def with_detection_time(rows: DataFrame) -> DataFrame:
+    """detected_at_ms: when the rows were found, in processing time."""
+    return rows.withColumn("detected_at_ms", F.unix_millis(F.current_timestamp()))
+
+
+def invalid_lines(pings: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
+    """A console line for each invalid ping."""
+    return invalid(pings, s).select(F.format_string("INVALID[%s] vehicle=%s", "reason", "vehicle").alias("line"))
+
+
 def reason_counts(pings: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     return with_reason(pings, s).groupBy(F.coalesce("reason", F.lit("VALID")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -67,6 +77,21 @@ def dedup_metrics(pings: DataFrame) -> DataFrame:
     return out.withColumn("duplicate_rate", F.round(ratio(F.col("duplicates_dropped"), F.col("total_seen")), 6))
 
 
+def running_dedup_metrics(pings: DataFrame, every: int = 5000, order: tuple[str, ...] = ARRIVAL) -> DataFrame:
+    """Seen, dropped and rate of a vehicle so far, at each ``every``-th of its pings."""
+    by = W.partitionBy("vehicle").orderBy(*order)
+    again = F.row_number().over(W.partitionBy("vehicle", "datetime").orderBy(*[c for c in order if c != "datetime"] or ["datetime"])) > 1
+    rows = pings.withColumn("_again", again.cast("long")).withColumn("total_seen", F.row_number().over(by).cast("long"))
+    rows = rows.withColumn("duplicates_dropped", F.sum("_again").over(by.rowsBetween(W.unboundedPreceding, 0))).where(F.col("total_seen") % every == 0)
+    return rows.select("vehicle", "total_seen", "duplicates_dropped", F.round(ratio(F.col("duplicates_dropped"), F.col("total_seen")), 6).alias("duplicate_rate"))
+
+
+def dedup_lines(metrics: DataFrame) -> DataFrame:
+    """A console line for each row of metrics; deduplication is exact, so there is no filter and its size is 0."""
+    line = F.format_string("DEDUP[%s] seen=%d dropped=%d rate=%.3f bloomBytes=0", "vehicle", "total_seen", "duplicates_dropped", "duplicate_rate")
+    return metrics.select(line.alias("line"))
+
+
 def with_routes(pings: DataFrame, routes: DataFrame, s: Settings = DEFAULTS, most_broadcast: int = 1_000_000) -> DataFrame:
     """routeNo and routeId of each ping's vehicle; vehicles without a route get the unknown one.
 
@@ -96,6 +121,11 @@ def anomalies(pings: DataFrame, s: Settings = DEFAULTS, order: tuple[str, ...] =
     """
     rows = _with_previous(pings, order).where("prev is not null")
     rows = rows.withColumn("distance_km", distance_km(F.col("prev.y"), F.col("prev.x"), F.col("y"), F.col("x"))).withColumn("seconds", F.col("datetime") - F.col("prev.datetime"))
+    return anomalous(rows.withColumn("prev_lon", F.col("prev.x")).withColumn("prev_lat", F.col("prev.y")), s, tuple(c for c in order if c not in ("vehicle", "datetime")))
+
+
+def anomalous(rows: DataFrame, s: Settings = DEFAULTS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The anomalies among pings with the way (distance_km) and time (seconds) from the one before (prev_lon, prev_lat); batches and streams."""
     fast = F.coalesce(F.col("speed") > s.excess_speed_kmh, F.lit(False))
     jump = F.coalesce((F.col("seconds") > 0) & (F.col("seconds") <= s.jump_seconds) & (F.col("distance_km") > s.jump_km), F.lit(False))
     rows = rows.withColumn("speed_excess", fast).withColumn("gps_jump", jump).where("speed_excess or gps_jump")
@@ -105,7 +135,6 @@ def anomalies(pings: DataFrame, s: Settings = DEFAULTS, order: tuple[str, ...] =
         F.when(F.col("gps_jump"), F.concat(F.lit("GPS_JUMP:"), F.format_string("%.2fkm_in_%ds", "distance_km", "seconds"))),
     )
     return rows.select(
-        "vehicle", "routeNo", "datetime", *[c for c in order if c not in ("vehicle", "datetime")], told.alias("anomaly_type"), "speed_excess", "gps_jump", "speed",
-        F.col("x").alias("lon"), F.col("y").alias("lat"), F.col("prev.x").alias("prev_lon"), F.col("prev.y").alias("prev_lat"),
-        "distance_km", F.col("seconds").alias("seconds_from_prev"),
+        "vehicle", "routeNo", "datetime", *keep, told.alias("anomaly_type"), "speed_excess", "gps_jump", "speed",
+        F.col("x").alias("lon"), F.col("y").alias("lat"), "prev_lon", "prev_lat", "distance_km", F.col("seconds").alias("seconds_from_prev"),
     ).withColumn("category", F.substring_index("anomaly_type", ":", 1))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.numbers import flag
+from ..functions.numbers import flag, without_prefix
 from ..settings import DEFAULTS, Settings
 from .pings import ARRIVAL
 
@@ -58,6 +59,33 @@ def latest_speeds(windows: DataFrame) -> DataFrame:
     return windows.where("route_no is not null").groupBy("route_no").agg(F.max("window_end_ms").alias("window_end_ms"), F.max_by(F.struct(*rest), "window_end_ms").alias("w")).select("route_no", "window_end_ms", "w.*")
 
 
+ROUTE_SPEED_KEY = "route:speed:"
+
+
+def route_speed_hashes(windows: DataFrame) -> DataFrame:
+    """The last window of each route as a key and the strings that a key-value store holds."""
+    two = lambda c: F.format_string("%.2f", c)
+    return latest_speeds(windows).select(
+        F.concat(F.lit(ROUTE_SPEED_KEY), "route_no").alias("key"), two("avg_speed").alias("avgSpeed"), two("min_speed").alias("minSpeed"), two("max_speed").alias("maxSpeed"),
+        *[F.col(c).cast("string").alias(n) for c, n in (("vehicle_count", "vehicleCount"), ("event_count", "eventCount"), ("window_end_ms", "windowEndMs"))],
+    )
+
+
+def live_route_speeds(hashes: DataFrame, now_ms: int, s: Settings = DEFAULTS) -> DataFrame:
+    """Route speeds (route_no and the strings) that were written, at written_ms, less than their time to live ago."""
+    live = hashes.where(F.col("written_ms") > now_ms - s.route_speed_ttl_seconds * 1000)
+    return live.withColumn("route_no", without_prefix(F.col("key"), ROUTE_SPEED_KEY)).drop("key")
+
+
+def rate(samples: DataFrame, seconds: int, now_ms: int) -> DataFrame:
+    """Increase a second of each counter (metric, label) over the last so many seconds, from samples (at_ms, value); a fall is a reset to 0."""
+    by = W.partitionBy("metric", "label").orderBy("at_ms")
+    rows = samples.where(F.col("at_ms").between(now_ms - seconds * 1000, now_ms)).withColumn("before", F.lag("value").over(by))
+    step = F.when(F.col("value") >= F.col("before"), F.col("value") - F.col("before")).otherwise(F.when(F.col("before").isNotNull(), F.col("value")))
+    out = rows.groupBy("metric", "label").agg(F.sum(step).alias("up"), ((F.max("at_ms") - F.min("at_ms")) / 1000).alias("span"))
+    return out.select("metric", "label", F.try_divide(F.col("up"), F.col("span")).alias("rate")).where("rate is not null")
+
+
 def slowest(latest: DataFrame, k: int = 10) -> DataFrame:
     return latest.where("avg_speed > 0").orderBy("avg_speed", "route_no").limit(k)
 

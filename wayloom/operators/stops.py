@@ -71,10 +71,10 @@ def with_clusters(points: DataFrame, s: Settings = DEFAULTS, folder: str | None
     spark = points.sparkSession
     if folder is None:
         folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir, or give a folder, that all executors share")
 
     def settled(df: DataFrame, name: str) -> DataFrame:
-        if folder is None:  # small local runs
-            return df.cache()
         path = f"{folder.rstrip('/')}/wayloom-{uuid.uuid4().hex}/{name}"
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -23,23 +23,30 @@ FEATURE_COLUMNS = (
 def route_speeds(pings: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     """Speeds per route in sliding windows.
 
-    Pings are first summed by pane (one step), then each pane goes into the
-    windows over it, so rows multiply after they have shrunk, not before.
+    Pings are first summed by route and pane (one step), without vehicles, then
+    each pane goes into the windows over it, so rows multiply after they have
+    shrunk to a row a route and pane.  Vehicles are counted beside that: a
+    vehicle's pane adds only the windows that its pane before does not reach, so
+    each window gets a vehicle once and no distinct count is needed.
     vehicle_count counts pings, as the serving side expects;
     distinct_vehicle_count counts vehicles.  Windows without speeds have zeros.
     """
     step, length = s.slide_step_seconds, s.slide_window_seconds
-    by_vehicle = pings.groupBy("routeNo", window_start(F.col("datetime"), step).alias("pane"), "vehicle").agg(
+    pane = window_start(F.col("datetime"), step).alias("pane")
+    panes = pings.groupBy("routeNo", pane).agg(
         F.sum("speed").alias("sum"), F.count("speed").alias("n"), F.min("speed").alias("min"), F.max("speed").alias("max"), F.count(F.lit(1)).alias("events")
     )
-    ends = F.sequence(F.col("pane") + step, F.col("pane") + length, F.lit(step))
-    panes = by_vehicle.withColumn("window_end", F.explode(ends))
-    vehicles = panes.groupBy("routeNo", "window_end", "vehicle").agg(
-        F.sum("sum").alias("sum"), F.sum("n").alias("n"), F.min("min").alias("min"), F.max("max").alias("max"), F.sum("events").alias("events")
+    ends = lambda first: F.explode(F.sequence(first, F.col("pane") + length, F.lit(step)))
+    speeds = panes.withColumn("window_end", ends(F.col("pane") + step)).groupBy("routeNo", "window_end").agg(
+        or_zero(F.try_divide(F.sum("sum"), F.sum("n"))).alias("avg_speed"), or_zero(F.min("min")).alias("min_speed"), or_zero(F.max("max")).alias("max_speed"), F.sum("events").alias("events"),
     )
-    return vehicles.groupBy(F.col("routeNo").alias("route_no"), (F.col("window_end") * 1000).alias("window_end_ms")).agg(
-        or_zero(F.try_divide(F.sum("sum"), F.sum("n"))).alias("avg_speed"), or_zero(F.min("min")).alias("min_speed"), or_zero(F.max("max")).alias("max_speed"),
-        F.sum("events").alias("vehicle_count"), F.sum("events").alias("event_count"), F.count(F.lit(1)).alias("distinct_vehicle_count"),
+    seen = pings.select("routeNo", "vehicle", pane).distinct().withColumn("before", F.lag("pane").over(W.partitionBy("routeNo", "vehicle").orderBy("pane")))
+    first = F.greatest(F.col("pane") + step, F.col("before") + length + step)
+    vehicles = seen.select(F.col("routeNo").alias("_route"), "pane", ends(first).alias("_end")).groupBy("_route", "_end").agg(F.count(F.lit(1)).alias("distinct_vehicle_count"))
+    both = speeds.join(vehicles, F.col("routeNo").eqNullSafe(F.col("_route")) & (F.col("window_end") == F.col("_end")))
+    return both.select(
+        F.col("routeNo").alias("route_no"), (F.col("window_end") * 1000).alias("window_end_ms"), "avg_speed", "min_speed", "max_speed",
+        F.col("events").alias("vehicle_count"), F.col("events").alias("event_count"), "distinct_vehicle_count",
     )
 
 
@@ -72,7 +79,21 @@ def trips(pings: DataFrame, s: Settings = DEFAULTS, order: tuple[str, ...] = ARR
         "vehicle", F.col("a.routeNo").alias("route_no"), F.col("a.routeId").alias("route_id"), "trip_start", "trip_end",
         (F.col("trip_end") - F.col("trip_start")).alias("duration_s"), "event_count", "total_distance_km", "avg_speed", "stop_count",
         F.col("a.x").alias("start_lon"), F.col("a.y").alias("start_lat"), F.col("b.x").alias("end_lon"), F.col("b.y").alias("end_lat"),
-        F.concat(F.lit("trips/"), F.col("a.routeNo"), F.lit("/"), short_id(F.col("vehicle")), F.lit("_"), F.col("trip_start"), F.lit(".json")).alias("path"),
+    ).withColumn("path", trip_path())
+
+
+def trip_path() -> Column:
+    """Where a trip's object stands."""
+    return F.concat(F.lit("trips/"), F.col("route_no"), F.lit("/"), short_id(F.col("vehicle")), F.lit("_"), F.col("trip_start"), F.lit(".json"))
+
+
+def with_hour(rows: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
+    """Adds the hour of a feature window, its place on the circle, and the path of the window's object."""
+    angle = F.lit(2 * math.pi) * F.col("hour_of_day") / 24
+    return (
+        rows.withColumn("hour_of_day", hour_of((F.col("window_start_ms") / 1000).cast("long"), s.feature_utc_offset_hours)).withColumn("hour_sin", F.sin(angle)).withColumn("hour_cos", F.cos(angle))
+        .withColumn("path", F.concat(F.lit("features/vehicle-hourly/"), F.col("route_no"), F.lit("/"), short_id(F.col("vehicle")), F.lit("_"), F.col("window_start_ms"), F.lit(".json")))
+        .select("vehicle", "route_no", "window_start_ms", "hour_of_day", *FEATURE_COLUMNS, "aircon_fraction", "path")
     )
 
 
@@ -88,13 +109,7 @@ def vehicle_features(pings: DataFrame, s: Settings = DEFAULTS, order: tuple[str,
         or_zero(F.avg("gap")).alias("avg_interval_s"), or_zero(F.stddev_pop("gap")).alias("std_interval_s"), F.count_if(turned).alias("heading_changes"),
         (F.count_if("ignition") / F.count(F.lit(1))).alias("ignition_fraction"), (F.count_if("aircon") / F.count(F.lit(1))).alias("aircon_fraction"),
     )
-    hour = hour_of(F.col("start"), s.feature_utc_offset_hours)
-    angle = F.lit(2 * math.pi) * F.col("hour_of_day") / 24
-    return (
-        out.withColumn("hour_of_day", hour).withColumn("hour_sin", F.sin(angle)).withColumn("hour_cos", F.cos(angle)).withColumn("window_start_ms", F.col("start") * 1000)
-        .withColumn("path", F.concat(F.lit("features/vehicle-hourly/"), F.col("route_no"), F.lit("/"), short_id(F.col("vehicle")), F.lit("_"), F.col("window_start_ms"), F.lit(".json")))
-        .select("vehicle", "route_no", "window_start_ms", "hour_of_day", *FEATURE_COLUMNS, "aircon_fraction", "path")
-    )
+    return with_hour(out.withColumn("window_start_ms", F.col("start") * 1000), s)
 
 
 def archive(pings: DataFrame, s: Settings = DEFAULTS) -> DataFrame:

@@ -110,6 +110,16 @@ def dedup_metrics(spark, d):
     return pings.dedup_metrics(pings.valid(fixture.pings(spark, d), SETTINGS))
 
 
+@_query(o.sql("SELECT vehicle, total_seen, CAST(dropped AS BIGINT) AS duplicates_dropped, round(dropped / total_seen, 6) AS duplicate_rate FROM (SELECT vehicle, row_number() OVER w AS total_seen, sum(again) OVER w AS dropped FROM (SELECT *, CASE WHEN row_number() OVER (PARTITION BY vehicle, datetime ORDER BY event_id, copy) > 1 THEN 1 ELSE 0 END AS again FROM valid) a WINDOW w AS (PARTITION BY vehicle ORDER BY datetime, event_id, copy)) t WHERE total_seen % 50 = 0"))
+def dedup_metrics_running(spark, d):
+    return pings.running_dedup_metrics(pings.valid(fixture.pings(spark, d), SETTINGS), every=50)
+
+
+@_query(o.sql("SELECT concat('INVALID[', reason, '] vehicle=', vehicle) AS line FROM checked WHERE reason IS NOT NULL"))
+def invalid_lines(spark, d):
+    return pings.invalid_lines(fixture.pings(spark, d), SETTINGS)
+
+
 @_query(o.sql("SELECT vehicle, datetime, event_id, copy, routeNo, routeId FROM silver"))
 def route_enrichment(spark, d):
     return _clean(spark, d).select("vehicle", "datetime", "event_id", "copy", "routeNo", "routeId")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -37,8 +40,8 @@ def decode_array_text(rows: DataFrame, value: str = "value") -> DataFrame:
 
 
 def in_replay_order(pings: DataFrame) -> DataFrame:
-    """arrival: the order of replay, by part, file number and time."""
-    return pings.withColumn("arrival", F.struct("part", "file_no", "datetime"))
+    """arrival: the order of replay, by part, file number and time; rows are in it within their files' order."""
+    return pings.withColumn("arrival", F.struct("part", "file_no", "datetime")).orderBy("arrival")
 
 
 def read_messages(rows: DataFrame, value: str = "value") -> DataFrame:
@@ -49,21 +52,34 @@ def read_messages(rows: DataFrame, value: str = "value") -> DataFrame:
     time are left out.
     """
     extra = [c for c in rows.columns if c != value]
-    parsed = rows.select(*extra, F.try_parse_json(value).alias("v")).where("v is not null")
+    fields = ", ".join(f"{name}: string" for name in MESSAGE_FIELDS)
+    schema = f"{ENVELOPE} struct<{fields}>, _broken string"
+    # every field as text, in one parse; the generator keeps the optimiser from parsing again for each field and test
+    parsed = F.from_json(value, schema, {"columnNameOfCorruptRecord": "_broken"})
+    rows = rows.select(*extra, F.explode_outer(F.array(parsed)).alias("_m")).where("_m._broken is null")
 
     def field(name: str, kind: str) -> Column:
-        got = F.try_variant_get("v", f"$.{ENVELOPE}.{name}", kind)
+        text = f"_m.{ENVELOPE}.{name}"
         if kind == "string":
-            return got
-        return F.coalesce(got, F.expr(f"try_cast(try_variant_get(v, '$.{ENVELOPE}.{name}', 'string') AS {kind})"))
+            return F.col(text)
+        if kind == "bigint":  # a whole number, or the whole part of another
+            return F.expr(f"coalesce(try_cast({text} AS bigint), try_cast(try_cast({text} AS double) AS bigint))")
+        return F.expr(f"try_cast({text} AS {kind})")
 
-    out = parsed.select(*extra, *[field(name, kind).alias(as_) for name, (as_, kind) in MESSAGE_FIELDS.items()])
+    out = rows.select(*extra, *[field(name, kind).alias(as_) for name, (as_, kind) in MESSAGE_FIELDS.items()])
     return out.where(has_identity(F.col("vehicle"), F.col("datetime")))
 
 
 def read_routes_csv(spark: SparkSession, path: str) -> DataFrame:
-    """(vehicle, route_id, route_no) of a CSV with a header; short lines are skipped, the last of a vehicle wins."""
-    raw = spark.read.option("header", True).schema(ROUTES_CSV).option("mode", "PERMISSIVE").csv(path)
+    """(vehicle, route_id, route_no) of a CSV with a header; short lines are skipped, the last of a vehicle wins.
+
+    A file that can't be found gives no routes, with a warning: every vehicle's is unknown then.
+    """
+    try:
+        raw = spark.read.option("header", True).schema(ROUTES_CSV).option("mode", "PERMISSIVE").csv(path)
+    except AnalysisException as error:
+        warnings.warn(f"no routes: {error}", stacklevel=2)
+        raw = spark.createDataFrame([], ROUTES_CSV)
     return last_routes(raw.withColumn("line", F.monotonically_increasing_id()))
 
 
@@ -85,8 +101,49 @@ def to_kafka_rows(pings: DataFrame) -> DataFrame:
 
 
 def replay_gaps(pings: DataFrame, speed: float) -> DataFrame:
-    """wait_s: seconds to wait before each ping when a vehicle's file is replayed at a speed (0: none)."""
-    before = F.lag("datetime").over(W.partitionBy("vehicle").orderBy("datetime"))
-    return pings.withColumn("wait_s", F.greatest(F.lit(0.0), (F.col("datetime") - before) / F.lit(speed)) if speed else F.lit(0.0))
+    """wait_s: seconds to wait before each ping when files are replayed one after the other at a speed (0: none).
+
+    A ping waits for the one before it in its file, a file's first for the last
+    of the file before; going back in time waits for nothing.  Files' last times
+    are a row a file.
+    """
+    if not speed:
+        return pings.withColumn("wait_s", F.lit(0.0))
+    lasts = pings.groupBy("part", "file_no").agg(F.max("datetime").alias("_last"))
+    lasts = lasts.withColumn("_last", F.lag("_last").over(W.orderBy("part", "file_no")))
+    before = F.lag("datetime").over(W.partitionBy("part", "file_no").orderBy("datetime"))
+    out = pings.withColumn("_before", before).join(lasts, ["part", "file_no"], "left")
+    gap = (F.col("datetime") - F.coalesce("_before", "_last")) / F.lit(float(speed))
+    return out.withColumn("wait_s", F.greatest(F.lit(0.0), F.coalesce(gap, F.lit(0.0)))).drop("_before", "_last")
+
+
+def write_kafka(pings: DataFrame, servers: str, topic: str) -> None:
+    """Send pings as messages; needs the Kafka connector on the class path."""
+    out = to_kafka_rows(pings).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic)
+    out.option("kafka.compression.type", "lz4").option("kafka.linger.ms", 5).save()
+
+
+#: Where the sinks put what they store, and how many objects the analyses take of each at most.
+STORED = {"trips": ("trips", 2000), "features": ("features/vehicle-hourly", 5000), "anomalies": ("anomalies", None), "archive": ("archive", 300)}
+
+
+def read_stored(spark: SparkSession, path: str, kind: str, prefix: str = "", capped: bool = False) -> DataFrame:
+    """Stored trips, features, anomalies or archived pings; of the archive, dates with a prefix; capped: no more rows than the analyses take.
+
+    Anomalies come newest first.
+    """
+    folder, most = STORED[kind]
+    rows = spark.read.parquet(f"{path}/{folder}")
+    if kind == "archive":
+        rows = rows.where(F.col("date").cast("string").startswith(prefix))
+    if kind == "anomalies":
+        rows = rows.orderBy(F.desc("datetime"), "vehicle")
+    return rows.limit(most) if capped and most else rows
+
+
+def for_map(messages: DataFrame) -> DataFrame:
+    """Updates that a map can show: of a vehicle, with a place that is a number."""
+    known = lambda c: F.col(c).isNotNull() & ~F.isnan(c)
+    return messages.where(F.col("vehicle").isNotNull() & (F.col("vehicle") != "") & known("x") & known("y"))
 
 

@@ -18,7 +18,7 @@ from ..functions.numbers import or_zero
 from ..operators import pings as p
 from ..operators import serving, windows
 from ..settings import DEFAULTS, Settings
-from ..sources.readers import read_messages
+from ..sources.readers import STORED, for_map, read_messages
 
 
 def message_stream(spark: SparkSession, path: str, files_per_trigger: int = 16) -> DataFrame:
@@ -40,6 +40,17 @@ def silver(rows: DataFrame, routes: DataFrame, s: Settings = DEFAULTS) -> DataFr
     return p.with_routes(unique, routes, s)
 
 
+def counted(rows: DataFrame, s: Settings = DEFAULTS, name: str = "coords") -> DataFrame:
+    """The same rows; each batch's progress tells how many were valid and invalid, under observedMetrics."""
+    ok = p.fault(s).isNull()
+    return rows.observe(name, F.count_if(ok).alias("valid"), F.count_if(~ok).alias("invalid"))
+
+
+def invalid(rows: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
+    """Invalid pings with the reason and the time they were found."""
+    return p.with_detection_time(p.invalid(rows, s))
+
+
 def append(rows: DataFrame, path: str, checkpoint: str, partition_by: tuple[str, ...] = (), once: bool = True):
     """Start appending a stream to Parquet; once: take what is there and stop."""
     w = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
@@ -52,6 +63,21 @@ def archive_stream(rows: DataFrame, path: str, checkpoint: str, once: bool = Tru
     return append(windows.archive_rows(rows), path, checkpoint, ("date", "hhmm"), once)
 
 
+def trip_sink(rows: DataFrame, path: str, checkpoint: str, once: bool = True):
+    """Store trips by route, as readers.read_stored finds them."""
+    return append(rows, f"{path}/{STORED['trips'][0]}", checkpoint, ("route_no",), once)
+
+
+def feature_sink(rows: DataFrame, path: str, checkpoint: str, once: bool = True):
+    """Store hourly features by route."""
+    return append(rows, f"{path}/{STORED['features'][0]}", checkpoint, ("route_no",), once)
+
+
+def anomaly_sink(rows: DataFrame, path: str, checkpoint: str, once: bool = True):
+    """Store every anomaly; recent_anomalies keeps the last ones beside."""
+    return append(rows, f"{path}/{STORED['anomalies'][0]}", checkpoint, (), once)
+
+
 def route_speeds(rows: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     """windows.route_speeds on a stream with event_time."""
     w = F.window("event_time", f"{s.slide_window_seconds} seconds", f"{s.slide_step_seconds} seconds")
@@ -103,23 +129,24 @@ def trips(rows: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
         "vehicle", a["routeNo"].alias("route_no"), a["routeId"].alias("route_id"), a["datetime"].alias("trip_start"), b["datetime"].alias("trip_end"),
         (b["datetime"] - a["datetime"]).alias("duration_s"), F.size("ps").cast("long").alias("event_count"), _way().alias("total_distance_km"), _mean(speeds).alias("avg_speed"),
         F.size(F.filter(speeds, lambda v: v < s.idle_kmh)).cast("long").alias("stop_count"), a["x"].alias("start_lon"), a["y"].alias("start_lat"), b["x"].alias("end_lon"), b["y"].alias("end_lat"),
-    )
+    ).withColumn("path", windows.trip_path())
 
 
 def vehicle_features(rows: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
-    """The order-dependent and plain hourly features on a stream with event_time."""
+    """windows.vehicle_features on a stream with event_time."""
     w = F.window("event_time", f"{s.feature_seconds} seconds")
     got = _steps(rows.groupBy(w.alias("w"), "vehicle").agg(F.array_sort(F.collect_list(F.struct(*_KEPT))).alias("ps")))
     speeds, gaps = F.transform("ps", lambda q: q["speed"]), F.transform("ts", lambda t: (t["c"]["datetime"] - t["p"]["datetime"]).cast("double"))
     n = F.size("ps").cast("double")
     share = lambda f: F.size(F.filter("ps", f)) / n
-    return got.select(
+    out = got.select(
         "vehicle", F.get("ps", F.lit(0))["routeNo"].alias("route_no"), F.unix_millis("w.start").alias("window_start_ms"), F.size("ps").cast("long").alias("event_count"),
         _mean(speeds).alias("avg_speed"), or_zero(F.array_max(speeds)).alias("max_speed"), _deviation(speeds).alias("std_speed"), share(lambda q: q["speed"] < s.idle_kmh).alias("idle_fraction"),
         _way().alias("total_distance_km"), _mean(gaps).alias("avg_interval_s"), _deviation(gaps).alias("std_interval_s"),
         F.size(F.filter("ts", lambda t: heading_change(t["p"]["heading"], t["c"]["heading"]) > s.heading_degrees)).cast("long").alias("heading_changes"),
         share(lambda q: q["ignition"]).alias("ignition_fraction"), share(lambda q: q["aircon"]).alias("aircon_fraction"),
     )
+    return windows.with_hour(out, s)
 
 
 # -- anomalies: the ping before is keyed state
@@ -154,37 +181,75 @@ def anomalies(rows: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
         statefulProcessor=PreviousPing(), outputStructType=PAIRED, outputMode="Append", timeMode="None"
     )
     km, seconds = distance_km(F.col("py"), F.col("px"), F.col("y"), F.col("x")), F.col("datetime") - F.col("pdatetime")
-    found = paired.where("pdatetime is not null").withColumn("distance_km", km).withColumn("seconds_from_prev", seconds)
-    fast = F.coalesce(F.col("speed") > s.excess_speed_kmh, F.lit(False))
-    jump = F.coalesce((F.col("seconds_from_prev") > 0) & (F.col("seconds_from_prev") <= s.jump_seconds) & (F.col("distance_km") > s.jump_km), F.lit(False))
-    return found.withColumn("speed_excess", fast).withColumn("gps_jump", jump).where("speed_excess or gps_jump")
+    found = paired.where("pdatetime is not null").withColumn("distance_km", km).withColumn("seconds", seconds)
+    return p.anomalous(found.withColumn("prev_lon", F.col("px")).withColumn("prev_lat", F.col("py")), s)
 
 
 # -- state tables
 
 
-def upsert_state(path: str):
-    """foreachBatch writer: merges a batch into the state table; a version a batch, so a repeated batch writes the same."""
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions of a state table."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in system.listStatus(at)] if system.exists(at) else []
+    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+
+
+def _versioned(path: str, merge):
+    """foreachBatch writer: merge(batch, last version or None) becomes the next version; a version a batch, so a repeated batch writes the same."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select("vehicle", "datetime", *serving.STATE_FIELDS)
-        fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        system = fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        earlier = [int(f.getPath().getName().split("=")[1]) for f in system.listStatus(fs) if "=" in f.getPath().getName()] if system.exists(fs) else []
-        earlier = [v for v in earlier if v < batch_id]
-        if earlier:
-            rows = rows.withColumn("turn", F.lit(1)).unionByName(spark.read.parquet(f"{path}/version={max(earlier)}").withColumn("turn", F.lit(0)))
-        else:
-            rows = rows.withColumn("turn", F.lit(1))
-        serving.current_state(rows, ("turn", "datetime")).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        earlier = [v for v in _versions(spark, path) if v < batch_id]
+        merge(batch, spark.read.parquet(f"{path}/version={earlier[-1]}") if earlier else None).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+
+    return write
+
+
+def upsert_state(path: str):
+    """foreachBatch writer: merges a batch of pings into the vehicles' state."""
+
+    def merge(batch: DataFrame, last: DataFrame | None) -> DataFrame:
+        rows = batch.select("vehicle", "datetime", *serving.STATE_FIELDS, F.lit(1).alias("turn"))
+        return serving.current_state(rows.unionByName(last.withColumn("turn", F.lit(0))) if last is not None else rows, ("turn", "datetime"))
+
+    return _versioned(path, merge)
+
+
+def recent_anomalies(path: str, s: Settings = DEFAULTS):
+    """foreachBatch writer: keeps the last anomalies, newest first."""
+
+    def merge(batch: DataFrame, last: DataFrame | None) -> DataFrame:
+        rows = batch.unionByName(last) if last is not None else batch
+        return rows.orderBy(F.desc("datetime"), "vehicle").limit(s.recent_anomalies)
+
+    return _versioned(path, merge)
+
+
+def upsert_route_speeds(path: str):
+    """foreachBatch writer: each route's last window as strings, with the time of writing, from which serving.live_route_speeds counts."""
+
+    def merge(batch: DataFrame, last: DataFrame | None) -> DataFrame:
+        rows = serving.route_speed_hashes(batch).withColumn("written_ms", F.unix_millis(F.current_timestamp()))
+        if last is None:
+            return rows
+        return last.join(rows.select("key"), "key", "left_anti").unionByName(rows)
+
+    return _versioned(path, merge)
+
+
+def fan_out(send):
+    """foreachBatch writer: gives each partition's updates, as JSON messages, to ``send`` (an iterator's consumer, such as a push server's client)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fields = [c for c in ("vehicle", "datetime", *serving.STATE_FIELDS) if c in batch.columns]
+        messages = for_map(batch).select(F.to_json(F.struct(*fields), {"ignoreNullFields": "true"}).alias("message"))
+        messages.foreachPartition(lambda rows: send(r["message"] for r in rows))
 
     return write
 
 
 def latest_state(spark: SparkSession, path: str) -> DataFrame:
     """The newest version of a state table."""
-    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    newest = max(int(f.getPath().getName().split("=")[1]) for f in system.listStatus(fs) if "=" in f.getPath().getName())
-    return spark.read.parquet(f"{path}/version={newest}")
+    return spark.read.parquet(f"{path}/version={_versions(spark, path)[-1]}")
