@@ -241,3 +241,34 @@ def test_windows_count_a_vehicle_once(spark):
             want.setdefault((x["routeNo"], end * 1000), []).append(x)
     got = {(x["route_no"], x["window_end_ms"]): (x["distinct_vehicle_count"], x["event_count"], round(x["avg_speed"], 6)) for x in windows.route_speeds(make(spark, *rows)).collect()}
     assert got == {k: (len({x["vehicle"] for x in v}), len(v), round(sum(x["speed"] for x in v) / len(v), 6)) for k, v in want.items()}
+
+
+def test_clusters_against_pairs(spark):
+    """Density clusters of dense, sparse and bordering places, by all pairs."""
+    import math
+    import random
+
+    r = random.Random(8)
+    eps, least = 5e-4, 10
+    deg = math.degrees(eps)
+    at = lambda y, x, n, w: [(10.7 + y * deg + r.uniform(-w, w) * deg, 106.6 + x * deg + r.uniform(-w, w) * deg) for _ in range(n)]
+    spots = at(0, 0, 40, 0.2) + at(0, 0.9, 40, 0.2) + at(0, 2.3, 15, 0.5) + at(3, 0, 9, 0.1) + at(3.7, 0, 4, 0.3) + at(6, 6, 60, 2) + at(9, 0, 5, 0.1) + [(10.5, 106.9)] * 11 + at(6, -3, 30, 1.5)
+    angle = lambda p, q: 2 * math.atan2(math.sqrt(h := math.sin(math.radians(q[0] - p[0]) / 2) ** 2 + math.cos(math.radians(p[0])) * math.cos(math.radians(q[0])) * math.sin(math.radians(q[1] - p[1]) / 2) ** 2), math.sqrt(1 - h))
+    core = [p for p in spots if sum(angle(p, q) <= eps for q in spots) >= least]
+    up = {p: p for p in core}
+
+    def find(p):
+        while up[p] != p:
+            p = up[p]
+        return p
+
+    for p in up:
+        for q in up:
+            if angle(p, q) <= eps:
+                a, b = find(p), find(q)
+                up[max(a, b)] = min(a, b)
+    heads = sorted({find(p) for p in up})
+    want = {p: heads.index(find(p)) if p in up else min((heads.index(find(q)) for q in up if angle(p, q) <= eps), default=-1) for p in spots}
+    assert len(heads) > 2 and -1 in want.values()
+    points = spark.createDataFrame([("v", *p, 100, i, i) for i, p in enumerate(spots)], "vehicle string, lat double, lon double, duration_s long, start_ts long, end_ts long")
+    assert {(x["lat"], x["lon"]): x["cluster"] for x in stops.with_clusters(points).collect()} == want

@@ -59,14 +59,34 @@ def neighbour_counts(points: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     return neighbours(points, s).groupBy("a").agg(F.sum("weight").alias("neighbours")).select("a.lat", "a.lon", "neighbours")
 
 
+def _celled(places: DataFrame, s: Settings) -> DataFrame:
+    """Adds the cell (i, j) of a place: two places of one cell are always within eps of each other."""
+    side = math.degrees(s.cluster_eps_radians) / math.sqrt(2) * (1 - 1e-9)
+    return places.withColumn("i", F.floor(F.col("lat") / side)).withColumn("j", F.floor(F.col("lon") / side))
+
+
+def _around(cells: DataFrame, s: Settings) -> DataFrame:
+    """(ci, cj) of rows in cells (i, j): the cells that hold places within eps, the row's own among them."""
+    tall = 2
+    wide = math.ceil(math.sqrt(2) / math.cos(math.radians(min(89.0, max(abs(s.lat_min), abs(s.lat_max)) + math.degrees(s.cluster_eps_radians)))) + 1e-6)
+    out = cells.withColumn("di", F.explode(F.array(*[F.lit(d) for d in range(-tall, tall + 1)]))).withColumn("dj", F.explode(F.array(*[F.lit(d) for d in range(-wide, wide + 1)])))
+    return out.withColumn("ci", F.col("i") + F.col("di")).withColumn("cj", F.col("j") + F.col("dj")).drop("di", "dj")
+
+
 def with_clusters(points: DataFrame, s: Settings = DEFAULTS, folder: str | None = None) -> DataFrame:
     """Adds ``cluster``: density-connected stops share one, -1 is noise.
 
-    Labels of core places spread to core neighbours by minimum until they rest;
-    each round is one join and one aggregate, written to ``folder`` (default:
-    the cluster's shared checkpoint folder) when lineage must be cut.  A border
-    place joins the least label among its core neighbours.  Labels are numbers
-    from 0 in the order of the clusters' least (lat, lon).
+    Places are put in cells so small that those of one are neighbours.  In a
+    cell with enough stops every place is core, without a look at pairs; only
+    places of other cells, which are few in each, are compared with the cells
+    around.  Core places of a cell share a cluster, so cells are linked, not
+    places: two cells by a pair of core places within eps, sought first among a
+    few of each cell and then, if there is none, among all.  Labels of cells
+    spread to linked cells by minimum until they rest; each round is one join
+    and one aggregate, written to ``folder`` (default: the cluster's shared
+    checkpoint folder).  A border place joins the least label among its core
+    neighbours.  Labels are numbers from 0 in the order of the clusters' least
+    core (lat, lon).
     """
     spark = points.sparkSession
     if folder is None:
@@ -79,9 +99,33 @@ def with_clusters(points: DataFrame, s: Settings = DEFAULTS, folder: str | None
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    near = settled(neighbours(points, s), "near")
-    core = near.groupBy("a").agg(F.sum("weight").alias("w")).where(F.col("w") >= s.cluster_min_points).select("a")
-    links = settled(near.join(core, "a", "left_semi").join(core.select(F.col("a").alias("b")), "b", "left_semi").select("a", "b"), "links")
+    near = lambda a, b: central_angle(F.col(f"{a}lat"), F.col(f"{a}lon"), F.col(f"{b}lat"), F.col(f"{b}lon")) <= s.cluster_eps_radians
+    places = settled(_celled(_places(points), s), "places")
+    dense = places.groupBy("i", "j").agg(F.sum("weight").alias("w")).where(F.col("w") >= s.cluster_min_points).select("i", "j")
+    sparse = settled(places.join(dense, ["i", "j"], "left_anti"), "sparse")
+    other = places.select(F.col("lat").alias("olat"), F.col("lon").alias("olon"), "weight", F.col("i").alias("ci"), F.col("j").alias("cj"))
+    counted = _around(sparse.drop("weight"), s).join(other, ["ci", "cj"])
+    counted = counted.where(((F.col("i") == F.col("ci")) & (F.col("j") == F.col("cj"))) | near("", "o")).groupBy("lat", "lon", "i", "j").agg(F.sum("weight").alias("w"))
+    core = settled(places.join(dense, ["i", "j"], "left_semi").select("lat", "lon", "i", "j").unionByName(counted.where(F.col("w") >= s.cluster_min_points).select("lat", "lon", "i", "j")), "core")
+
+    # cells with core places, and those near enough to be linked; a few places of each: its ends
+    place = F.struct("lat", "lon")
+    cells = core.groupBy("i", "j").agg(F.min(place).alias("least"), F.max(place).alias("most"), F.min_by(place, "lon").alias("west"), F.max_by(place, "lon").alias("east"))
+    cells = settled(cells, "cells")
+    ends = F.array_distinct(F.array("least", "most", "west", "east"))
+    few = cells.select("i", "j", F.explode(ends).alias("p")).select("p.lat", "p.lon", "i", "j")
+    beside = _around(cells.select("i", "j"), s).where("ci > i or (ci = i and cj > j)").join(cells.select(F.col("i").alias("ci"), F.col("j").alias("cj")), ["ci", "cj"])
+    beside = settled(beside.select("i", "j", "ci", "cj"), "beside")
+
+    def linked(pairs: DataFrame, members: DataFrame) -> DataFrame:
+        there = members.select(F.col("lat").alias("olat"), F.col("lon").alias("olon"), F.col("i").alias("ci"), F.col("j").alias("cj"))
+        return pairs.join(members.select("lat", "lon", "i", "j"), ["i", "j"]).join(there, ["ci", "cj"]).where(near("", "o")).select("i", "j", "ci", "cj").distinct()
+
+    soon = settled(linked(beside, few), "soon")
+    links = soon.unionByName(linked(beside.join(soon, ["i", "j", "ci", "cj"], "left_anti"), core))
+    links = links.select(F.struct("i", "j").alias("a"), F.struct(F.col("ci").alias("i"), F.col("cj").alias("j")).alias("b"))
+    own = cells.select(F.struct("i", "j").alias("a"), F.struct("i", "j").alias("b"))
+    links = settled(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(own), "links")
     labels = settled(links.groupBy("a").agg(F.min("b").alias("label")), "labels")
     while True:
         spread = links.join(labels.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("label"))
@@ -91,11 +135,21 @@ def with_clusters(points: DataFrame, s: Settings = DEFAULTS, folder: str | None
         if not after.join(labels.withColumnRenamed("label", "old"), "a").where("label <> old").head(1):
             break
         labels = after
-    heads = labels.select("label").distinct()
-    numbers = heads.withColumn("cluster", F.row_number().over(W.orderBy("label")) - 1)  # one row a cluster
-    border = near.join(labels.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("least"))
-    placed = border.join(labels, "a", "left").select("a", F.coalesce("label", "least").alias("label")).join(numbers, "label")
-    named = placed.select(F.col("a.lat").alias("lat"), F.col("a.lon").alias("lon"), "cluster")
+
+    # a cluster's number is the rank of its least core place: ranks within bands of latitude, after the bands before
+    owner = cells.join(labels.select("a.i", "a.j", "label"), ["i", "j"])
+    heads = owner.groupBy("label").agg(F.min("least").alias("head")).withColumn("band", F.floor(F.col("head.lat") * 100))
+    heads = settled(heads.withColumn("n", F.row_number().over(W.partitionBy("band").orderBy("head"))), "heads")
+    bands = heads.groupBy("band").agg(F.max("n").alias("size")).withColumn("before", F.coalesce(F.sum("size").over(W.orderBy("band").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))  # a row a band
+    numbers = heads.join(bands.select("band", "before"), "band").select("label", "head", (F.col("before") + F.col("n") - 1).cast("int").alias("cluster"))
+    of_cell = settled(owner.join(numbers, "label").select("i", "j", "cluster"), "clusters")
+    cored = settled(core.join(of_cell, ["i", "j"]).select("lat", "lon", "i", "j", "cluster"), "core_clusters")
+
+    # the others of sparse cells: the least cluster among core places within eps
+    rest = _around(sparse.select("lat", "lon", "i", "j").join(cored.select("lat", "lon"), ["lat", "lon"], "left_anti"), s)
+    there = cored.select(F.col("lat").alias("olat"), F.col("lon").alias("olon"), F.col("i").alias("ci"), F.col("j").alias("cj"), "cluster")
+    border = rest.join(there, ["ci", "cj"]).where(((F.col("i") == F.col("ci")) & (F.col("j") == F.col("cj"))) | near("", "o")).groupBy("lat", "lon").agg(F.min("cluster").alias("cluster"))
+    named = cored.select("lat", "lon", "cluster").unionByName(border)
     return points.join(named, ["lat", "lon"], "left").withColumn("cluster", F.coalesce("cluster", F.lit(-1)))
 
 
