@@ -102,7 +102,7 @@ def with_clusters(points: DataFrame, s: Settings = DEFAULTS, folder: str | None
     near = lambda a, b: central_angle(F.col(f"{a}lat"), F.col(f"{a}lon"), F.col(f"{b}lat"), F.col(f"{b}lon")) <= s.cluster_eps_radians
     places = settled(_celled(_places(points), s), "places")
     dense = places.groupBy("i", "j").agg(F.sum("weight").alias("w")).where(F.col("w") >= s.cluster_min_points).select("i", "j")
-    sparse = settled(places.join(dense, ["i", "j"], "left_anti"), "sparse")
+    sparse = places.join(dense, ["i", "j"], "left_anti")
     other = places.select(F.col("lat").alias("olat"), F.col("lon").alias("olon"), "weight", F.col("i").alias("ci"), F.col("j").alias("cj"))
     counted = _around(sparse.drop("weight"), s).join(other, ["ci", "cj"])
     counted = counted.where(((F.col("i") == F.col("ci")) & (F.col("j") == F.col("cj"))) | near("", "o")).groupBy("lat", "lon", "i", "j").agg(F.sum("weight").alias("w"))
@@ -111,38 +111,39 @@ def with_clusters(points: DataFrame, s: Settings = DEFAULTS, folder: str | None
     # cells with core places, and those near enough to be linked; a few places of each: its ends
     place = F.struct("lat", "lon")
     cells = core.groupBy("i", "j").agg(F.min(place).alias("least"), F.max(place).alias("most"), F.min_by(place, "lon").alias("west"), F.max_by(place, "lon").alias("east"))
-    cells = settled(cells, "cells")
     ends = F.array_distinct(F.array("least", "most", "west", "east"))
     few = cells.select("i", "j", F.explode(ends).alias("p")).select("p.lat", "p.lon", "i", "j")
     beside = _around(cells.select("i", "j"), s).where("ci > i or (ci = i and cj > j)").join(cells.select(F.col("i").alias("ci"), F.col("j").alias("cj")), ["ci", "cj"])
-    beside = settled(beside.select("i", "j", "ci", "cj"), "beside")
+    beside = beside.select("i", "j", "ci", "cj")
 
     def linked(pairs: DataFrame, members: DataFrame) -> DataFrame:
         there = members.select(F.col("lat").alias("olat"), F.col("lon").alias("olon"), F.col("i").alias("ci"), F.col("j").alias("cj"))
         return pairs.join(members.select("lat", "lon", "i", "j"), ["i", "j"]).join(there, ["ci", "cj"]).where(near("", "o")).select("i", "j", "ci", "cj").distinct()
 
-    soon = settled(linked(beside, few), "soon")
+    soon = linked(beside, few)
     links = soon.unionByName(linked(beside.join(soon, ["i", "j", "ci", "cj"], "left_anti"), core))
     links = links.select(F.struct("i", "j").alias("a"), F.struct(F.col("ci").alias("i"), F.col("cj").alias("j")).alias("b"))
     own = cells.select(F.struct("i", "j").alias("a"), F.struct("i", "j").alias("b"))
     links = settled(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(own), "links")
     labels = settled(links.groupBy("a").agg(F.min("b").alias("label")), "labels")
+    told = lambda df: df.agg(F.sum(F.shiftright(F.xxhash64("a", "label"), 20)), F.bit_xor(F.xxhash64("label", "a"))).first()
+    now = told(labels)
     while True:
         spread = links.join(labels.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("label"))
         # jump to the label of the label: paths halve each round
         jumped = spread.join(labels.select(F.col("a").alias("label"), F.col("label").alias("further")), "label", "left").select("a", F.least("label", "further").alias("label"))
         after = settled(jumped, "labels")
-        if not after.join(labels.withColumnRenamed("label", "old"), "a").where("label <> old").head(1):
+        before, now, labels = now, told(after), after
+        if now == before:  # labels only ever fall, so equal digests are equal labels
             break
-        labels = after
 
     # a cluster's number is the rank of its least core place: ranks within bands of latitude, after the bands before
     owner = cells.join(labels.select("a.i", "a.j", "label"), ["i", "j"])
     heads = owner.groupBy("label").agg(F.min("least").alias("head")).withColumn("band", F.floor(F.col("head.lat") * 100))
-    heads = settled(heads.withColumn("n", F.row_number().over(W.partitionBy("band").orderBy("head"))), "heads")
+    heads = heads.withColumn("n", F.row_number().over(W.partitionBy("band").orderBy("head")))
     bands = heads.groupBy("band").agg(F.max("n").alias("size")).withColumn("before", F.coalesce(F.sum("size").over(W.orderBy("band").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))  # a row a band
     numbers = heads.join(bands.select("band", "before"), "band").select("label", "head", (F.col("before") + F.col("n") - 1).cast("int").alias("cluster"))
-    of_cell = settled(owner.join(numbers, "label").select("i", "j", "cluster"), "clusters")
+    of_cell = owner.join(numbers, "label").select("i", "j", "cluster")
     cored = settled(core.join(of_cell, ["i", "j"]).select("lat", "lon", "i", "j", "cluster"), "core_clusters")
 
     # the others of sparse cells: the least cluster among core places within eps
