@@ -85,6 +85,20 @@ def test_state_is_merged(spark, tmp_path):
     assert rows(pipeline.latest_state(spark, str(tmp_path / "state")).toPandas()) == rows(serving.current_state(table, ORDER).toPandas())
 
 
+def test_old_and_broken_versions_of_state(spark, tmp_path):
+    path = tmp_path / "state"
+    write = pipeline.upsert_state(str(path))
+    table = batch(spark).limit(40)
+    for i in range(7):
+        write(table.where(f"datetime % 7 = {i}"), i)
+    names = lambda: sorted(p.name for p in path.iterdir() if p.name.startswith("version="))
+    assert names() == [f"version={i}" for i in (3, 4, 5, 6)]
+    (path / "version=7").mkdir()  # a writer that was lost
+    want = rows(pipeline.latest_state(spark, str(path)).toPandas())
+    write(table.where("datetime % 7 = 6"), 7)
+    assert rows(pipeline.latest_state(spark, str(path)).toPandas()) == want and names() == [f"version={i}" for i in (4, 5, 6, 7)]
+
+
 def test_late_pings_are_dropped_from_windows(spark, tmp_path):
     names = "vehicle string, datetime long, speed double, routeNo string"
     for i, r in enumerate(([("a", 1000, 10.0, "1")], [("a", 9000, 10.0, "1")], [("a", 9001, 10.0, "1")], [("a", 1001, 50.0, "1")], [("a", 99000, 1.0, "1")], [("a", 99001, 1.0, "1")])):

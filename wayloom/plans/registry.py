@@ -9,8 +9,10 @@ from __future__ import annotations
 import dataclasses
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import numbers
 from ..operators import analysis, pings, serving, stops, windows
 from ..settings import DEFAULTS
 from ..sources import fixture, readers
@@ -65,6 +67,42 @@ def route_speed_sliding(spark, d):
 # -- decoding and cleaning
 
 
+@_query(o.sql(f"SELECT {PING} FROM gps"))
+def kafka_round_trip(spark, d):
+    """Pings as rows for Kafka, read back as a consumer does."""
+    return readers.read_messages(readers.to_kafka_rows(fixture.pings(spark, d))).where(F.col("key") == F.col("vehicle")).select(*PING_LIST)
+
+
+def _filed(spark, d):
+    """Pings dealt to parts and files, as those of a replay are."""
+    return fixture.pings(spark, d).withColumn("part", F.expr("cast(event_id % 3 AS int)")).withColumn("file_no", F.expr("cast(event_id div 500 % 7 AS int)"))
+
+
+_FILED = "(SELECT *, CAST(event_id % 3 AS INT) AS part, CAST(event_id // 500 % 7 AS INT) AS file_no FROM gps) f"
+
+
+@_query(o.sql(f"SELECT part, file_no, datetime, row_number() OVER (ORDER BY part, file_no, datetime) AS place FROM (SELECT DISTINCT part, file_no, datetime FROM {_FILED} WHERE part = 1 AND file_no = 2) t"))
+def replay_order(spark, d):
+    """One file's times in the order of their replay."""
+    rows = readers.in_replay_order(_filed(spark, d).where("part = 1 and file_no = 2")).groupBy("arrival").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("arrival.*", F.row_number().over(W.partitionBy("arrival.part", "arrival.file_no").orderBy("arrival")).cast("long").alias("place"))
+
+
+_ENDS = f"(SELECT part, file_no, lag(last_time) OVER (ORDER BY part, file_no) AS earlier FROM (SELECT part, file_no, max(datetime) AS last_time FROM {_FILED} GROUP BY 1, 2) m)"
+
+
+@_query(o.sql(f"SELECT part, file_no, datetime, greatest(coalesce((datetime - coalesce(lag(datetime) OVER (PARTITION BY part, file_no ORDER BY datetime), earlier)) / 8e0, 0), 0) AS wait_s FROM {_FILED} JOIN {_ENDS} e USING (part, file_no)"))
+def replay_waits(spark, d):
+    return readers.replay_gaps(_filed(spark, d), 8.0).select("part", "file_no", "datetime", "wait_s")
+
+
+@_query(o.sql("SELECT concat('n', c_nationkey) AS vehicle, concat('R', max(c_custkey)) AS route_id, concat(max(c_custkey) % 40) AS route_no FROM customer GROUP BY c_nationkey"))
+def route_table_last_line(spark, d):
+    """Of a route table's lines, padded with blanks, the last of each vehicle."""
+    lines = spark.read.parquet(f"{d}/customer.parquet").selectExpr("concat(' n', c_nationkey, '  ') AS vehicle", "concat('R', c_custkey, ' ') AS route_id", "concat(' ', c_custkey % 40) AS route_no", "c_custkey AS line")
+    return readers.last_routes(lines)
+
+
 @_query(o.sql(f"SELECT {KEYED} FROM gps WHERE event_id % 97 NOT IN (1, 2, 3, 4, 5)"))
 def json_decode(spark, d):
     return readers.read_messages(fixture.messages(spark, d)).select(*PING_LIST, "event_id", "copy")
@@ -115,6 +153,11 @@ def dedup_metrics_running(spark, d):
     return pings.running_dedup_metrics(pings.valid(fixture.pings(spark, d), SETTINGS), every=50)
 
 
+@_query(o.sql("SELECT concat('DEDUP[', vehicle, '] seen=', n, ' dropped=', n - u, ' rate=', CAST(CAST(round((n - u) / n, 6) AS VARCHAR) AS DECIMAL(9, 3)), ' bloomBytes=0') AS line FROM (SELECT vehicle, count(*) AS n, count(DISTINCT datetime) AS u FROM valid GROUP BY 1) t"))
+def dedup_lines(spark, d):
+    return pings.dedup_lines(pings.dedup_metrics(pings.valid(fixture.pings(spark, d), SETTINGS)))
+
+
 @_query(o.sql("SELECT concat('INVALID[', reason, '] vehicle=', vehicle) AS line FROM checked WHERE reason IS NOT NULL"))
 def invalid_lines(spark, d):
     return pings.invalid_lines(fixture.pings(spark, d), SETTINGS)
@@ -147,6 +190,14 @@ def recent_anomalies(spark, d):
     return _r(rows, "distance_km").select(*_FOUND)
 
 
+_TOLD = "concat_ws('|', CASE WHEN speed_excess THEN concat('SPEED_EXCESS:', CAST(CAST(speed AS VARCHAR) AS DECIMAL(18, 1))) END, CASE WHEN gps_jump THEN concat('GPS_JUMP:', CAST(CAST(distance_km AS VARCHAR) AS DECIMAL(18, 2)), 'km_in_', seconds_from_prev, 's') END)"
+
+
+@_query(o.sql(f"SELECT vehicle, datetime, {_TOLD} AS anomaly_type FROM anomalies", o.ANOMALIES))
+def anomaly_types(spark, d):
+    return _anomalies(spark, d).select("vehicle", "datetime", "anomaly_type")
+
+
 @_query(o.sql("SELECT category, count(*) AS n, count(*) FILTER (WHERE gps_jump) AS with_jump FROM anomalies GROUP BY 1", o.ANOMALIES))
 def anomalies_by_category(spark, d):
     return _anomalies(spark, d).groupBy("category").agg(F.count(F.lit(1)).alias("n"), F.count_if("gps_jump").alias("with_jump"))
@@ -333,6 +384,12 @@ def bus_hashes(spark, d):
     return serving.hashes(_state(spark, d)).drop("lon", "lat", "speed", "heading")  # text of doubles differs between engines
 
 
+@_query(o.sql("SELECT vehicle, x AS lon, y AS lat, speed, heading FROM state", o.STATE))
+def bus_hash_numbers(spark, d):
+    """The numbers of the hashes, read back from their text."""
+    return serving.hashes(_state(spark, d)).select("vehicle", *[F.expr(f"cast({c} AS double) AS {c}") for c in ("lon", "lat", "speed", "heading")])
+
+
 @_query(o.sql(f"SELECT {_STATE} FROM state WHERE vehicle = '{VEHICLE}'", o.STATE))
 def bus_by_id(spark, d):
     return serving.current_state(_clean(spark, d).where(F.col("vehicle") == VEHICLE))
@@ -376,6 +433,48 @@ def busiest_routes(spark, d):
     return serving.busiest(_r(_latest(spark, d), "avg_speed"))
 
 
+_TWO = ", ".join(f"CAST(CAST(CAST(round({c}_speed, 6) AS VARCHAR) AS DECIMAL(18, 2)) AS VARCHAR) AS {c}Speed" for c in ("avg", "min", "max"))
+_STRINGS = f"{_TWO}, vehicle_count::VARCHAR AS vehicleCount, event_count::VARCHAR AS eventCount, window_end_ms::VARCHAR AS windowEndMs"
+
+
+@_query(o.sql(f"SELECT concat('route:speed:', route_no) AS key, {_STRINGS} FROM latest", o.SLIDING))
+def route_speed_hashes(spark, d):
+    return serving.route_speed_hashes(_r(windows.route_speeds(_clean(spark, d), SETTINGS), "avg_speed", "min_speed", "max_speed"))
+
+
+#: A time at which some routes' speeds have expired: some minutes before the last window's end.
+NOW_MS = 1704300000000
+
+
+@_query(o.sql(f"SELECT route_no, {_STRINGS}, window_end_ms AS written_ms FROM latest WHERE window_end_ms > {NOW_MS} - 120000", o.SLIDING))
+def route_speeds_live(spark, d):
+    """Route speeds that have not expired, as if each had been written at its window's end."""
+    hashes = serving.route_speed_hashes(_r(windows.route_speeds(_clean(spark, d), SETTINGS), "avg_speed", "min_speed", "max_speed"))
+    return serving.live_route_speeds(hashes.withColumn("written_ms", F.col("windowEndMs").cast("long")), NOW_MS, SETTINGS)
+
+
+_COUNTED = f"(SELECT vehicle, datetime * 1000 AS at_ms, heading AS value, lag(heading) OVER (PARTITION BY vehicle ORDER BY datetime) AS before FROM silver WHERE heading IS NOT NULL AND datetime * 1000 BETWEEN {NOW_MS} - 259200000 AND {NOW_MS}) c"
+
+
+@_query(o.sql(f"SELECT 'heading' AS metric, vehicle AS label, round(sum(CASE WHEN before IS NULL THEN NULL WHEN value >= before THEN value - before ELSE value END) / ((max(at_ms) - min(at_ms)) / 1000e0), 6) AS rate FROM {_COUNTED} GROUP BY vehicle HAVING max(at_ms) > min(at_ms)"))
+def counter_rates(spark, d):
+    """Headings taken as counters that often start again: their increase a second over three days."""
+    samples = _clean(spark, d).where("heading is not null").select(F.lit("heading").alias("metric"), F.col("vehicle").alias("label"), (F.col("datetime") * 1000).alias("at_ms"), F.col("heading").alias("value"))
+    return _r(serving.rate(samples, 259200, NOW_MS), "rate")
+
+
+_SHIFTED = "(h * 32) & 4294967295"
+_HUE = f"list_reduce(list_prepend(0::BIGINT, list_transform(string_split(name, ''), lambda c: ord(c)::BIGINT)), lambda h, c: c - h + ({_SHIFTED}) - CASE WHEN ({_SHIFTED}) >= 2147483648 THEN 4294967296 ELSE 0 END)"
+
+
+@_query(o.sql(f"SELECT name, CASE WHEN name <> 'UNKNOWN' THEN CAST(abs({_HUE}) % 360 AS INT) END AS hue FROM (SELECT DISTINCT routeNo AS name FROM silver UNION SELECT n_name FROM nation UNION SELECT p_name FROM part) n"))
+def route_hues(spark, d):
+    """Hues of the routes, and of longer names."""
+    names = [spark.read.parquet(f"{d}/{t}.parquet").select(F.col(c).alias("name")) for t, c in (("nation", "n_name"), ("part", "p_name"))]
+    rows = _clean(spark, d).select(F.col("routeNo").alias("name")).unionByName(names[0]).unionByName(names[1]).distinct()
+    return rows.select("name", numbers.route_hue(F.col("name")).alias("hue"))
+
+
 @_query(o.sql("SELECT 'fleet_active_buses' AS metric, '' AS label, count(*)::DOUBLE AS value FROM state UNION ALL SELECT 'fleet_active_routes', '', count(DISTINCT routeNo)::DOUBLE FROM state UNION ALL SELECT 'route_avg_speed', route_no, round(avg_speed, 6) FROM latest UNION ALL SELECT 'route_vehicle_count', route_no, vehicle_count::DOUBLE FROM latest", o.STATE, o.SLIDING))
 def fleet_metrics(spark, d):
     rows = _clean(spark, d)
@@ -387,6 +486,18 @@ def bus_update_messages(spark, d):
     return serving.update_messages(_clean(spark, d))
 
 
+@_query(o.sql(f"SELECT {_STATE}, event_id, copy FROM silver"))
+def bus_update_fields(spark, d):
+    """The fields of the update messages, read back from their JSON."""
+    kinds = "vehicle string, datetime bigint, driver string, x double, y double, speed double, heading double, ignition boolean, aircon boolean, working boolean, doorUp boolean, doorDown boolean, routeNo string, routeId string"
+    return serving.update_messages(_clean(spark, d)).select(F.from_json("message", kinds).alias("m"), "event_id", "copy").select("m.*", "event_id", "copy")
+
+
+@_query(o.sql(f"SELECT {KEYED} FROM gps WHERE x IS NOT NULL AND y IS NOT NULL"))
+def map_updates(spark, d):
+    return readers.for_map(fixture.pings(spark, d)).select(*PING_LIST, "event_id", "copy")
+
+
 # -- stops
 
 

@@ -189,20 +189,30 @@ def anomalies(rows: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
-    """The versions of a state table."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [f.getPath().getName() for f in system.listStatus(at)] if system.exists(at) else []
-    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+    """The versions of a state table whose writing ended."""
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in system.listStatus(to_path(path))] if system.exists(to_path(path)) else []
+    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version=") and system.exists(to_path(f"{path}/{n}/_SUCCESS")))
 
 
-def _versioned(path: str, merge):
-    """foreachBatch writer: merge(batch, last version or None) becomes the next version; a version a batch, so a repeated batch writes the same."""
+#: Versions of a state table that stay: a repeated batch needs the one before, and readers may still hold an older one.
+VERSIONS_KEPT = 4
+
+
+def _versioned(path: str, merge, keep: int = VERSIONS_KEPT):
+    """foreachBatch writer: merge(batch, last version or None) becomes the next version; a version a batch, so a repeated batch writes the same.
+
+    Versions but the last ``keep`` are deleted once the new one is written.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         earlier = [v for v in _versions(spark, path) if v < batch_id]
         merge(batch, spark.read.parquet(f"{path}/version={earlier[-1]}") if earlier else None).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        for old in earlier[: max(0, len(earlier) + 1 - max(2, keep))]:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version={old}")
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
     return write
 
