@@ -107,3 +107,28 @@ def test_clashing_names_and_order(spark, model):
 def test_many_siblings_stay(model):
     many = "".join(f"<p>Line {i} of a long list of notes, which goes on.</p>" for i in range(200))
     assert htmlmain.main_texts([f"<nav><a href=/>x</a></nav><article><h1>Notes</h1>{many}</article>"], model)[0].count("\n\n") == 200
+
+
+@pytest.mark.parametrize("unit", ["<a b=\"c\" ", "<title>", "<select>", "<ul>", "<form>x", "<table>x", "<svg><title>x", "<p a=' "])
+def test_time_grows_with_the_page(unit):
+    """Elements and quotes that never end; half a megabyte took hours when each was looked for from each place."""
+    import time
+
+    began = time.time()
+    nodes, _ = htmlmain.parse(unit * (500_000 // len(unit)) + '"')
+    htmlmain.features(nodes)
+    assert time.time() - began < 30
+
+
+def test_time_grows_with_the_page_of_unopened_ends():
+    import time
+
+    began = time.time()
+    nodes, _ = htmlmain.parse("<div>" * 50_000 + "</section>" * 50_000 + "x")
+    assert time.time() - began < 30 and nodes[-1].own == 1
+
+
+def test_quotes_that_open_no_value(model):
+    body = "<p>One plain sentence, with words enough.</p><p>And a second one, of some length too.</p>"
+    for tag in ("<article title=Bob's>", "<article data-x=a'b>", '<article x"y>', "<article title='open>"):
+        assert htmlmain.main_texts([tag + body + "</article>"], model) == ["One plain sentence, with words enough.\n\nAnd a second one, of some length too."]

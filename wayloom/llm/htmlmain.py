@@ -51,16 +51,19 @@ FEATURES = (
     + [f"tag_{t}" for t in TAGS] + [f"has_{g}" for g in _GROUPS] + [f"in_{g}" for g in _GROUPS]
     + ["in_article", "in_main", "in_nav", "in_header", "in_footer", "in_aside", "in_form", "in_blockquote", "in_section", "in_ul", "page_has_article"]
 )
+#: Elements at which the search for an open paragraph ends.
+_SCOPE = frozenset("p div td li article section blockquote".split())
 _INSIDE = ("article", "main", "nav", "header", "footer", "aside", "form", "blockquote", "section", "ul")
 
-_TAG = re.compile(r"""<(?:!--(?:.*?)(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z))""", re.S)
+# a quote opens a value only after "=", and only if it is closed; nothing is tried twice, so the time is linear
+_TAG = re.compile(r"""<(?:!--(?:.*?)(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*"|'[^']*')?+)*+)(?:>|\Z))""", re.S)
 _ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _TOLD = frozenset("class id role itemprop aria-label".split())
 _SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z0-9])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "parts", "tokens", "dropped", "links", "own", "depth", "index", "truth", "blocks")
+    __slots__ = ("tag", "parent", "children", "parts", "tokens", "dropped", "links", "own", "depth", "index", "truth", "blocks", "scope")
 
     def __init__(self, tag: str, parent: Node | None, tokens: tuple = (), dropped: bool = False):
         self.tag, self.parent, self.tokens, self.dropped = tag, parent, tokens, dropped
@@ -69,6 +72,7 @@ class Node:
         self.links, self.own, self.truth, self.blocks = 0, 0, None, []
         self.depth = parent.depth + 1 if parent else 0
         self.index = 0
+        self.scope = self if tag in _SCOPE else parent.scope if parent else None  # this node, or the nearest above it, of _SCOPE
         if parent:
             self.index = len(parent.children)
             parent.children.append(self)
@@ -95,9 +99,16 @@ def parse(page: str) -> tuple[list[Node], int]:
     Inline elements, and all inside formulas and drawings, add to the block they
     are in.  Scripts, styles, what stands in for unplayable media, and other
     elements without readable text are skipped whole, comments and markup too.
+    The time is in proportion to the page, however its elements are nested.
     """
     root = Node("html", None)
     nodes, now, at, block, in_link, foreign = [root], root, 0, 0, 0, 0
+    is_open: Counter = Counter()  # tags of the nodes from now up to the root, without it
+    endless = set()  # tags without an end tag in the rest of the page
+
+    def leave(node: Node) -> Node:
+        is_open[node.tag] -= 1
+        return node.parent
 
     def add(raw: str) -> None:
         if raw and not raw.isspace():
@@ -128,11 +139,10 @@ def parse(page: str) -> tuple[list[Node], int]:
                 if tag == "br":
                     now.parts.append((block, " "))
                 continue
-            up = now
-            while up is not None and up.tag != tag:
-                up = up.parent
-            if up is not None and up.parent is not None:
-                now, block, in_link = up.parent, block + 1, 0
+            if is_open[tag]:
+                while now.tag != tag:
+                    now = leave(now)
+                now, block, in_link = leave(now), block + 1, 0
             elif tag == "p":
                 block += 1
             continue
@@ -148,7 +158,9 @@ def parse(page: str) -> tuple[list[Node], int]:
         if tag in RAW:
             if m[3].rstrip().endswith("/") and tag != "script":
                 continue
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            end = None if tag in endless else re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            if end is None:
+                endless.add(tag)
             if end is None and tag in ("head", "title", "select", "video", "audio", "canvas", "iframe", "template"):
                 continue
             at = end.end() if end else len(page)
@@ -160,18 +172,18 @@ def parse(page: str) -> tuple[list[Node], int]:
         if tag in ("html", "body"):
             continue
         if tag in CLOSES_P:
-            up = now
-            while up is not None and up.tag not in ("p", "div", "td", "li", "article", "section", "blockquote"):
-                up = up.parent
-            if up is not None and up.tag == "p" and up.parent is not None:
-                now = up.parent
+            if (up := now.scope) is not None and up.tag == "p":
+                while now is not up:
+                    now = leave(now)
+                now = leave(now)
         while now.tag in SAME.get(tag, ()) and now.parent is not None and tag not in ("tbody", "thead"):
-            now = now.parent
+            now = leave(now)
             if tag in ("li", "dt", "dd") and now.tag in ("ul", "ol", "dl"):
                 break
         groups, hidden = _tokens(m[3]) if m[3] else ((), False)
         now = Node(tag, now, groups, hidden or now.dropped)
         nodes.append(now)
+        is_open[tag] += 1
         block, in_link = block + 1, 0
     add(page[at:])
     return nodes, block + 1
