@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,8 +113,6 @@ def test_many_siblings_stay(model):
 @pytest.mark.parametrize("unit", ["<a b=\"c\" ", "<title>", "<select>", "<ul>", "<form>x", "<table>x", "<svg><title>x", "<p a=' "])
 def test_time_grows_with_the_page(unit):
     """Elements and quotes that never end; half a megabyte took hours when each was looked for from each place."""
-    import time
-
     began = time.time()
     nodes, _ = htmlmain.parse(unit * (500_000 // len(unit)) + '"')
     htmlmain.features(nodes)
@@ -121,8 +120,6 @@ def test_time_grows_with_the_page(unit):
 
 
 def test_time_grows_with_the_page_of_unopened_ends():
-    import time
-
     began = time.time()
     nodes, _ = htmlmain.parse("<div>" * 50_000 + "</section>" * 50_000 + "x")
     assert time.time() - began < 30 and nodes[-1].own == 1

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -346,3 +347,28 @@ def test_labels_beyond_the_bound_are_left_out(spark, monkeypatch):
     monkeypatch.setattr(langid, "LANGUAGES", 2)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("lang", F.when(F.col("doc_id") % 20 == 1, F.concat(F.lit("x"), "doc_id")).otherwise(F.col("lang")))
     assert len(set(langid.train(docs).langs)) == 2
+
+
+@pytest.mark.parametrize("line", ["token = token + token\n", 'token = token + "y7"\n', 'a="b" + ', "a = a + a\n"])
+def test_constants_that_grow(line):
+    """Constants made of themselves: each line doubled the text, so fifty lines took all memory."""
+    text = 'token = "9fK2mQ8xLpR4vT7w"\n' + line * 5_000
+    began = time.time()
+    found = [x for x in secretscan.scan(text) if x[0] == "literal"]
+    assert time.time() - began < 20 and ("literal", 9, 25) in found
+    if "y7" in line:
+        assert len(found) == 5_001
+
+
+def test_values_are_measured_as_their_texts_are():
+    """Counts and short texts of nested values against the texts put together."""
+    r = random.Random(8)
+    for _ in range(300):
+        made = [(secretscan.Value([], t, (0, 1)), t) for t in ("", "aB3$", "changeme", "hunter2-X9hunter2-X9")]
+        for _ in range(r.randrange(1, 6)):
+            some = [r.choice(made) for _ in range(r.randrange(1, 4))]
+            made.append((secretscan.Value([v for v, _ in some]), "".join(t for _, t in some)))
+        value, text = made[-1]
+        value.measure()
+        assert {c: k for c, k in value.counts.items()} == Counter(text)
+        assert value.short == (text if len(text) <= secretscan.Value.SHORT else None)

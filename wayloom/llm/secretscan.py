@@ -94,16 +94,71 @@ def sensitivity(name: str) -> float:
     return max((SENSITIVE.get(p, 0.0) for p in both), default=0.0)
 
 
-def randomness(value: str) -> float:
-    """0 to 1: bits per character and kinds of characters of a literal."""
-    n = len(value)
+def randomness(counts: dict[str, float]) -> float:
+    """0 to 1: bits per character and kinds of characters of a literal, from how often it has each character."""
+    n = sum(counts.values())
     if n < ASSIGN_VALUE:
         return 0.0
-    bits = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    bits = -sum(c / n * math.log2(c / n) for c in counts.values())
+    kinds = len({0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if "0" <= c <= "9" else 3 for c in counts})
     return min(1.0, bits / 4.5) * 0.6 + kinds / 4 * 0.4
 
 
+class Value:
+    """What a name was given: a literal, or several values one after the other, such as constants that were passed on.
+
+    The text is never put together: ``a = a + a`` would double it on each line.
+    Only character counts are, and the text while it is short; both when first asked for.
+    """
+
+    __slots__ = ("parts", "place", "counts", "short", "told")
+    #: Characters up to which the text is kept, as no placeholder has more; and counts from which all are halved many times over.
+    SHORT, MANY = max(map(len, PLACEHOLDERS)), 2.0**50
+
+    def __init__(self, parts: list[Value], text: str = "", place: tuple[int, int] | None = None):
+        self.parts, self.place, self.short, self.told = parts, place, text, False
+        self.counts: dict[str, float] | None = None
+
+    def measure(self) -> Value:
+        """Fills counts and short (None for a longer text), parts first."""
+        stack = [self]
+        while stack:
+            v = stack[-1]
+            if v.counts is None and (open_parts := [p for p in v.parts if p.counts is None]):
+                stack += open_parts
+                continue
+            stack.pop()
+            if v.counts is not None:
+                continue
+            if not v.parts:
+                v.counts = Counter(v.short)
+                v.short = v.short if len(v.short) <= self.SHORT else None
+                continue
+            sums: Counter = Counter()
+            for p in v.parts:
+                for c, k in p.counts.items():
+                    sums[c] += k
+            v.counts = sums
+            if sum(sums.values()) > self.MANY:
+                v.counts = {c: k / self.MANY**0.5 for c, k in sums.items()}
+            texts = [p.short for p in v.parts]
+            v.short = "".join(texts) if None not in texts else None
+            v.short = v.short if v.short is None or len(v.short) <= self.SHORT else None
+        return self
+
+    def places(self) -> list[tuple[int, int]]:
+        """Where the literals stand; those of values that were told before are left out."""
+        out, stack = [], [self]
+        while stack:
+            v = stack.pop()
+            if not v.told:
+                v.told = True
+                stack += v.parts
+                if v.place:
+                    out.append(v.place)
+        return out
+
+
 def unescaped(literal: str) -> str:
     """A string's contents with its escapes read."""
     if "\\" not in literal:
@@ -122,10 +177,10 @@ class _Scopes:
     """Constants by name, in blocks by braces and indentation; a block that ends takes its constants with it."""
 
     def __init__(self) -> None:
-        self.of: dict[str, list] = {}
+        self.of: dict[str, list[Value]] = {}
         self.blocks: list[tuple[int, int, list[str]]] = [(0, 0, [])]
 
-    def bind(self, name: str, found: list, depth: int, indent: int) -> None:
+    def bind(self, name: str, found: Value, depth: int, indent: int) -> None:
         if self.blocks[-1][:2] != (depth, indent):
             self.blocks.append((depth, indent, []))
         self.blocks[-1][2].append(name)
@@ -136,13 +191,13 @@ class _Scopes:
             for name in self.blocks.pop()[2]:
                 self.of[name].pop()
 
-    def get(self, name: str) -> list | None:
+    def get(self, name: str) -> Value | None:
         held = self.of.get(name)
         return held[-1] if held else None
 
 
 def pairs(text: str, base: int = 0, nested: bool = False):
-    """(names, value, places) for literals that names are given, with constants passed on.
+    """(names, value) for the literals that names are given, with constants passed on.
 
     A value that was passed on has the places of the literals where they were
     written.  ``base`` is added to places; the contents of strings are lexed
@@ -154,12 +209,15 @@ def pairs(text: str, base: int = 0, nested: bool = False):
     waiting: list[str] = []  # names on this line whose value has not come yet
     joined, call, first, angle = False, 0, "", 0
 
+    def written(value: str, a: int, b: int) -> Value:
+        return Value([], value, (base + a, base + b))
+
     def literal(start: int, end: int) -> tuple[str, int, int]:
         a, b = _inside(text, start, end)
         strings.append((a, b))
-        return unescaped(text[a:b]), base + a, base + b
+        return unescaped(text[a:b]), a, b
 
-    def values(at: int) -> tuple[list[tuple[str, int, int]], int]:
+    def values(at: int) -> tuple[list[Value], int]:
         """The literals of the value at a place, and where it ends; none if it is no literal."""
         found = []
         if block := _BLOCK.match(text, at):
@@ -168,12 +226,12 @@ def pairs(text: str, base: int = 0, nested: bool = False):
                 end = text.find("\n", at)
                 end = len(text) if end < 0 else end
                 if text[at:end].strip():
-                    found.append((text[at + len(lead) : end].rstrip(), base + at + len(lead), base + at + len(text[at:end].rstrip())))
+                    found.append(written(text[at + len(lead) : end].rstrip(), at + len(lead), at + len(text[at:end].rstrip())))
                 at = end + 1
             return found, min(at - 1, len(text))
         while True:
             if s := _STR.match(text, at):
-                found.append(literal(s.start(), s.end()))
+                found.append(written(*literal(s.start(), s.end())))
                 at = s.end()
                 after = _BLANK.match(text, at).end()
                 if _STR.match(text, after):  # strings side by side are one
@@ -183,14 +241,14 @@ def pairs(text: str, base: int = 0, nested: bool = False):
                 name = _CHAIN.match(text, at)
                 known = scopes.get(".".join(x.strip("\"'") for x in _LINKS.findall(name[0]))) if name else None
                 if known is not None:
-                    found.extend(known)
+                    found.append(known)
                     at = name.end()
                 elif name and text.startswith(("(", "["), name.end()):  # a call, or an element of something
                     return [], at
                 elif word := _WORD.match(text, at):
                     plain = word[0].rstrip(".!")
                     if plain and (any(c.isdigit() for c in plain) or len(plain) >= PLAIN_WORD):
-                        found.append((plain, base + at, base + at + len(plain)))
+                        found.append(written(plain, at, at + len(plain)))
                     at = word.end()
                 else:
                     return [], at
@@ -221,9 +279,10 @@ def pairs(text: str, base: int = 0, nested: bool = False):
             found, end = values(at) if waiting else ([], at)
             if found:
                 at = max(at, end)
+                value = found[0] if len(found) == 1 else Value(found)
                 for name in waiting:
-                    scopes.bind(name, found, depth, indent)
-                yield waiting, "".join(f[0] for f in found), found
+                    scopes.bind(name, value, depth, indent)
+                yield waiting, value
             if found or m[0] not in (":", "="):
                 waiting = []
             chain, call, angle = [], 0, 0
@@ -231,14 +290,14 @@ def pairs(text: str, base: int = 0, nested: bool = False):
         if kind == "str":
             value, a, b = literal(m.start(), m.end())
             if call == 3:
-                yield [first], value, [(value, a, b)]
+                yield [first], written(value, a, b)
             call = 2 if call == 1 else 0
             first = value
             chain = [value] if re.fullmatch(_NAME + r"(?:[.\-]\w++)*+", value) else []
             continue
         if kind == "xml":
             a, b = m.span("body")
-            yield [m["tag"]], m["body"].strip(), [(m["body"].strip(), base + a + len(m["body"]) - len(m["body"].lstrip()), base + b - len(m["body"]) + len(m["body"].rstrip()))]
+            yield [m["tag"]], written(m["body"].strip(), a + len(m["body"]) - len(m["body"].lstrip()), b - len(m["body"]) + len(m["body"].rstrip()))
         elif kind == "line":
             indent = len(m[0]) - 1
             if text[at : at + 1] not in ("\n", ""):
@@ -283,10 +342,10 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     out += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
     if paired or "</" in text or "(" in text and ("\"" in text or "'" in text):
         literal = set()
-        for names, value, places in pairs(text):
+        for names, value in pairs(text):
             s = max(map(sensitivity, names))
-            if s and value.lower() not in PLACEHOLDERS and s + randomness(value) >= THRESHOLD:
-                literal.update(("literal", a, b) for _, a, b in places)
+            if s and ((value.measure().short or "").lower() not in PLACEHOLDERS) and s + randomness(value.counts) >= THRESHOLD:
+                literal.update(("literal", a, b) for a, b in value.places())
         out += literal
     return sorted(set(out), key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
