@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,34 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def give_back() -> None:
+    """Hand freed memory to the system: Spark keeps Python workers for later stages, and they count beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def giving_back(batches_to_batches):
+    """The same for mapInArrow, which hands memory back when a task has read its last batch."""
+
+    def run(batches):
+        yield from batches_to_batches(batches)
+        give_back()
+
+    return run
+
+
+def giving_back_group(table_to_table):
+    """The same for applyInArrow, after each group."""
+
+    def run(group: pa.Table) -> pa.Table:
+        out = table_to_table(group)
+        give_back()
+        return out
+
+    return run
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/wayloom-{uuid.uuid4().hex}/{name}"
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, connected_components, discard, match_groups, materialize, small, small_batches, unused
+from .common import Scratch, connected_components, discard, giving_back, giving_back_group, match_groups, materialize, small, small_batches, unused
 from .textgrams import shingle_sets
 
 #: Documents up to which a token counts as rare, and is an index entry by itself.
@@ -296,9 +296,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // BUCKET_BYTES))
-    prints = rows.mapInArrow(_prints(width, buckets), _PRINTS)
-    again = prints.groupBy("bucket").applyInArrow(_again, "kind int, src long, data binary")
-    told = scratch.table(again.groupBy("src").applyInArrow(_told, "id long, n long, a long, b long, shared long"), "told")
+    prints = rows.mapInArrow(giving_back(_prints(width, buckets)), _PRINTS)
+    again = prints.groupBy("bucket").applyInArrow(giving_back_group(_again), "kind int, src long, data binary")
+    told = scratch.table(again.groupBy("src").applyInArrow(giving_back_group(_told), "id long, n long, a long, b long, shared long"), "told")
 
     # classes of equal sets, numbered; the row with the smallest id stands for each
     full = told.where("n > 0")
@@ -321,7 +321,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 b = np.array([total for _, total in some], dtype=_U).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[start : start + 256], pa.int64()), pa.array(a), pa.array(b), hs], names=["id", "a", "b", "hs"])
 
-    sets = reps.mapInArrow(sets_of, "id long, a long, b long, hs array<long>")
+    sets = reps.mapInArrow(giving_back(sets_of), "id long, a long, b long, hs array<long>")
     # rows that repeat an id may have other texts: the class's own set is the one meant
     sets = sets.join(small(members.select("rep", "id", "a", "b"), n_members), ["id", "a", "b"]).select("rep", "hs").dropDuplicates(["rep"])
     sets = scratch.table(sets, "sets")

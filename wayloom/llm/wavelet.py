@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, new_path, small_batches
+from .common import giving_back, materialize, new_path, small_batches
 
 MAGIC = b"WLWAVE01"
 CHUNK_BYTES = 1 << 15
@@ -466,7 +466,7 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "d
                 at += len(sizes)
                 yield pa.RecordBatch.from_arrays([some, pa.array(sizes + 1), _binary(_ended(ids, sizes, end_id), sizes + 1, width)], names=[id_col, "n_tokens", "ids"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids binary")
+    return docs.select(id_col, text_col).mapInArrow(giving_back(run), f"`{id_col}` {kind}, n_tokens long, ids binary")
 
 
 MANIFEST = "part long, seq long, path string, n_docs long, n_tokens long, before long"
