@@ -1,12 +1,17 @@
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from conftest import DATA
 from wayloom.llm import queries, wavelet
+from wayloom.llm.common import giving_back
 from wayloom.llm.queries import tokenizer_path
 
 
@@ -78,3 +83,41 @@ def test_counts_are_those_of_the_ids(spark, encoder):
     rows = [(1, None), (1, "one"), (None, "日本" * 9000)]
     got = wavelet.token_counts(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer_path()).collect()
     assert sorted(r["n_tokens"] for r in got) == sorted(1 + len(plain(encoder, t or "")) // 4 for _, t in rows)
+
+
+def test_encoder_memory_does_not_follow_the_words_it_has_met():
+    """Texts of ever new words, in a process of its own: what it held at most beyond the loaded encoder."""
+    script = """
+import re
+import pyarrow as pa
+from wayloom.llm import wavelet
+from wayloom.llm.common import giving_back
+from wayloom.llm.queries import tokenizer_path
+
+held = lambda name: int(re.search(name + r":\\s+(\\d+)", open("/proc/self/status").read())[1]) // 1024
+enc = wavelet.PieceEncoder(tokenizer_path())
+enc.count(["one text"])
+loaded = held("VmRSS")
+
+def batches():
+    for k in range(10):
+        yield pa.array([" ".join(f"w{(k * 2500 + i) * 60 + j:x} and the {j}" for j in range(60)) * 2 for i in range(2500)])
+
+def run(columns):
+    for column in columns:
+        for ids, sizes in enc.encode_column(column):
+            yield int(sizes.sum())
+
+assert sum(giving_back(run)(batches())) > 10_000_000
+print(held("VmHWM") - loaded)
+"""
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, check=True, cwd=Path(wavelet.__file__).parents[2], timeout=300)
+    assert int(out.stdout) < 160
+
+
+def test_workers_use_one_allocator(spark):
+    def run(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pylist([{"pool": pa.default_memory_pool().backend_name}])
+
+    assert {r["pool"] for r in spark.range(2).mapInArrow(giving_back(run), "pool string").collect()} == {"system"}

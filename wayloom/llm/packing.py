@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, small_batches
+from .common import giving_back_group, small, small_batches
 
 #: Permitted sequence lengths, and what a bin costs: its length and a fixed share.
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
@@ -161,8 +161,7 @@ def sequences(tokens: DataFrame, id_col: str = "doc_id", capacities: tuple[int,
 
     def run(group: pa.Table) -> pa.Table:
         n, bucket = group["n"].to_numpy(), group["bucket"][0].as_py()
-        flat = [np.frombuffer(x.as_buffer(), f"<u{x.as_buffer().size // k}").astype("<u4") for x, k in zip(group["ids"], n.tolist()) if k]
-        flat = np.concatenate(flat) if flat else np.zeros(0, "<u4")
+        ids_of = [np.frombuffer(x.as_buffer(), f"<u{x.as_buffer().size // k}") if k else np.zeros(0, "<u2") for x, k in zip(group["ids"], n.tolist())]
         p = _pieces(n, group["id"].to_pandas().rank(method="first").fillna(0).to_numpy(), capacities)
         order = np.lexsort((p["len"], p["offset"], p["bin"]))
         p = {k: v[order] for k, v in p.items()}
@@ -171,13 +170,11 @@ def sequences(tokens: DataFrame, id_col: str = "doc_id", capacities: tuple[int,
         base = np.cumsum(capacity) - capacity
         # every piece is copied from its document to its place in its bin
         of_bin = np.repeat(np.arange(len(cuts)), np.diff(np.append(cuts, len(order))))
-        source = (np.cumsum(n) - n)[p["doc"]] + p["piece"] * most
-        target = base[of_bin] + p["offset"]
-        within = np.arange(int(p["len"].sum())) - np.repeat(np.cumsum(p["len"]) - p["len"], p["len"])
         out = np.full(int(capacity.sum()), pad_id, dtype="<u4")
-        out[np.repeat(target, p["len"]) + within] = flat[np.repeat(source, p["len"]) + within]
+        for doc, start, to, size in zip(p["doc"].tolist(), (p["piece"] * most).tolist(), (base[of_bin] + p["offset"]).tolist(), p["len"].tolist()):
+            out[to : to + size] = ids_of[doc][start : start + size]
         offsets = (4 * np.append(base, len(out))).astype("<i8")
-        laid = pa.Array.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())]).cast(pa.binary())
+        laid = pa.Array.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(out)]).cast(pa.binary())
         ids = group["id"].combine_chunks().take(pa.array(p["doc"]))
         members = pa.StructArray.from_arrays(
             [ids, *(pa.array(x) for x in (n[p["doc"]], p["piece"], p["piece"] * most, p["len"], p["offset"]))], names=[id_col, "n_tokens", "piece", "piece_start", "piece_len", "bin_offset"]
@@ -188,4 +185,4 @@ def sequences(tokens: DataFrame, id_col: str = "doc_id", capacities: tuple[int,
         })
 
     piece = f"struct<`{id_col}`:{kind},n_tokens:long,piece:long,piece_start:long,piece_len:long,bin_offset:long>"
-    return rows.groupBy("bucket").applyInArrow(run, f"bin_id long, capacity long, n_tokens long, pieces array<{piece}>, input_ids binary")
+    return rows.groupBy("bucket").applyInArrow(giving_back_group(run), f"bin_id long, capacity long, n_tokens long, pieces array<{piece}>, input_ids binary")

@@ -38,9 +38,9 @@ CHUNK_BYTES = 1 << 15
 #: Ids after which a shard file is closed, at the next document's end.
 SHARD_TOKENS = 1 << 21
 #: Words whose ids a worker remembers, and the bytes they may have: beyond either it begins anew.
-CACHE_WORDS, CACHE_BYTES = 2_000_000, 48 << 20
+CACHE_WORDS, CACHE_BYTES = 500_000, 12 << 20
 #: Text bytes that are encoded at once, or one longer text.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 #: Rows of an Arrow batch of texts.
 BATCH_ROWS = 2500
 
@@ -103,9 +103,13 @@ class PieceEncoder:
 
     def _places(self, wanted: pa.Array) -> np.ndarray:
         """Entries of distinct words, each after a space or a line feed; the line feed's own id is not among a word's."""
-        at = pc.index_in(wanted, value_set=self.words)
-        if at.null_count:
-            new = wanted.filter(at.is_null())
+        # Arrow hashes the wanted words, not all known ones: time and memory follow the slice
+        met = pc.index_in(self.words, value_set=wanted)
+        at = np.full(len(wanted), -1, np.int64)
+        at[np.asarray(met.drop_null())] = np.flatnonzero(np.asarray(met.is_valid()))
+        missing = at < 0
+        if missing.any():
+            new = wanted.filter(pa.array(missing))
             known, ids, sizes = len(self.words), [], []
             for lead in ("\n", " "):
                 mine = new.filter(pc.starts_with(new, lead))
@@ -131,9 +135,8 @@ class PieceEncoder:
             self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(sizes) - sizes])
             self.size = np.concatenate([self.size, sizes])
             self.ids = np.concatenate([self.ids, *ids])
-            fresh = pc.index_in(wanted, value_set=self.words.slice(known))
-            at = pc.if_else(at.is_null(), pc.add(fresh, known), at)
-        return at.to_numpy()
+            at[missing] = np.asarray(pc.index_in(new, value_set=self.words.slice(known))).astype(np.int64) + known
+        return at
 
     @staticmethod
     def _gather(ids: np.ndarray, start: np.ndarray, size: np.ndarray, places: np.ndarray) -> np.ndarray:
